@@ -1,26 +1,31 @@
 """Exact sums, guarded ratios and two-decimal rounding.
 
 Double sums depend on the order in which partitions arrive, and past about 1e13 they no longer hold cents. Sums are
-therefore taken over decimals, whose partial sums merge to the same value in any order.
+therefore taken over whole numbers: the integer part and the millionths of every value, each as a 64-bit sum. Partial
+sums merge to the same value in any order, and the per-row work is two long additions. A double holds millionths up to
+about four billion; a larger value counts with what its double holds.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-VALUE = "decimal(18,6)"
+TOTAL = "decimal(28,6)"
 # A double such as 2.675 is stored a little below its text. Eight decimals bring it back before the half-up rounding.
 RATIO = "decimal(38,8)"
 
 
-def exact(value: Column | str) -> Column:
-    """Value as a decimal; a reading that is not finite becomes NULL instead of ending the job."""
-    return (F.col(value) if isinstance(value, str) else value).try_cast(VALUE)
-
-
 def exact_sum(value: Column | str) -> Column:
-    return F.sum(exact(value))
+    """Sum with six decimals. A reading that is no number or no 64-bit value counts as NULL instead of ending the job."""
+    number = (F.col(value) if isinstance(value, str) else value).cast("double")
+    finite = F.when(F.abs(number) < 9e18, number)
+    whole = F.floor(finite)
+    millionths = F.rint((finite - whole) * 1e6).cast("bigint")
+    rest = F.sum(millionths).cast("decimal(28,0)") * F.lit(Decimal("0.000001"))
+    return F.sum(whole).cast(TOTAL) + rest.cast(TOTAL)
 
 
 def round2(value: Column) -> Column:

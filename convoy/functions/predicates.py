@@ -36,4 +36,6 @@ def popup_status(speed: Column | str, moving_from: float = POPUP_MOVING_FROM) ->
 
 
 def overspeed(speed: Column | str, limit: float = OVERSPEED_ABOVE) -> Column:
-    return finite_or(F.col(speed) if isinstance(speed, str) else speed, 0.0) > limit
+    """Above the limit, as two plain comparisons, so that the first reaches the files. NULL for a missing speed."""
+    value = F.col(speed) if isinstance(speed, str) else speed
+    return (value > limit) & ~F.isnan(value)

@@ -10,21 +10,19 @@ ISO = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
-ISO_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d+))?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+ISO_COMPACT = r"^\d{8}(T\d{2}(\d{2}(\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def _from_compact(text: Column) -> Column:
-    part = lambda n: F.regexp_extract(text, ISO_COMPACT, n)
-    orelse = lambda c, d: F.when(c == "", F.lit(d)).otherwise(c)
-    day = F.concat_ws("-", part(1), part(2), part(3))
-    clock = F.concat(orelse(part(4), "00"), F.lit(":"), orelse(part(5), "00"), F.lit(":"), orelse(part(6), "00"))
-    return F.concat(day, F.lit("T"), clock, F.lit("."), orelse(part(7), "0"), part(8))
+    day = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    minutes = F.regexp_replace(day, r"T(\d{2})(\d{2})", "T$1:$2")
+    return F.regexp_replace(minutes, r"(T\d{2}:\d{2})(\d{2})", "$1:$2")
 
 
 def iso_timestamp(text: Column) -> Column:
     """Timestamp of an ISO-8601 text, NULL where it is none."""
-    extended = F.when(text.rlike(ISO), F.replace(text, F.lit(","), F.lit(".")))
-    return F.try_to_timestamp(F.coalesce(extended, F.when(text.rlike(ISO_COMPACT), _from_compact(text))))
+    known = F.when(text.rlike(ISO), text).when(text.rlike(ISO_COMPACT), _from_compact(text))
+    return F.try_to_timestamp(F.replace(known, F.lit(","), F.lit(".")))
 
 
 def date_text(value: Column) -> Column:
@@ -34,7 +32,9 @@ def date_text(value: Column) -> Column:
 def hours_between(start: Column, end: Column) -> Column:
     """Hours from start to end, two decimals."""
     micros = F.unix_micros(end) - F.unix_micros(start)
-    return F.round((micros / F.lit(3.6e9)).cast("decimal(38,8)"), 2).cast("double")
+    # Hundredths of an hour are 36 million microseconds; half of that makes the division round half away from zero.
+    hundredths = F.floor((F.abs(micros) + 18_000_000) / F.lit(36_000_000.0))
+    return F.signum(micros.cast("double")) * hundredths / F.lit(100.0) + F.lit(0.0)
 
 
 def date_parts(day: Column) -> dict[str, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.functions.numeric import round2
@@ -29,7 +29,9 @@ def assemble(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     return VectorAssembler(inputCols=features or FEATURES, outputCol="features").transform(df)
 
 
-def split(df: DataFrame, key: list[str], test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def split(
+    df: DataFrame, key: list[str], test_share: float = TEST_SHARE, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
     """Training and test rows, chosen by a hash of the row key.
 
     A rerun task takes the same rows again; a random split could move rows between the two sides.
@@ -39,7 +41,21 @@ def split(df: DataFrame, key: list[str], test_share: float = TEST_SHARE, seed: i
     return df.where(bucket >= limit), df.where(bucket < limit)
 
 
-def train(rows: DataFrame, label: str = LABEL, trees: int = TREES, max_depth: int = MAX_DEPTH) -> PipelineModel:
+def train(
+    rows: DataFrame,
+    label: str = LABEL,
+    trees: int = TREES,
+    max_depth: int = MAX_DEPTH,
+    partitions: int | None = None,
+    spread_by: list[str] | None = None,
+) -> PipelineModel:
+    """Fit the forest. Give ``partitions`` and a row key where the rows lie in fewer partitions than there are cores.
+
+    The node statistics get 1 GB per pass, so a level of the trees takes few passes over the rows, and the node each
+    row has reached is kept between passes.
+    """
+    if partitions:
+        rows = rows.repartition(partitions, *(spread_by or FEATURES))
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=label,
@@ -48,6 +64,8 @@ def train(rows: DataFrame, label: str = LABEL, trees: int = TREES, max_depth: in
         maxDepth=max_depth,
         featureSubsetStrategy="all",
         seed=SEED,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(rows)
 
@@ -58,9 +76,11 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def mean_absolute_error(model: PipelineModel, rows: DataFrame, label: str = LABEL) -> DataFrame:
-    """One row: test rows, the model's error and, to compare, the error of always predicting the mean label."""
-    scored = model.transform(rows).select(F.col(label).alias("_label"), F.abs(F.col("prediction") - F.col(label)).alias("_off"))
-    return scored.agg(F.count(F.lit(1)).alias("test_rows"), F.avg("_off").alias("mae"), F.stddev_pop("_label").alias("label_spread"))
+    """One row: the number of test rows, the mean absolute error and, to compare, the labels' standard deviation."""
+    off = F.abs(F.col("prediction") - F.col(label))
+    return model.transform(rows).agg(
+        F.count(F.lit(1)).alias("test_rows"), F.avg(off).alias("mae"), F.stddev_pop(label).alias("label_stddev")
+    )
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -71,9 +91,10 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def train_and_save(spark: SparkSession, rows: DataFrame, key: list[str], path: str) -> DataFrame:
+def train_and_save(
+    rows: DataFrame, key: list[str], path: str, max_depth: int = MAX_DEPTH, partitions: int | None = None
+) -> DataFrame:
     """Train on the training share, save the model and return its error on the test share."""
     training, test = split(rows, key)
-    model = train(training)
-    save(model, path)
+    save(train(training, max_depth=max_depth, partitions=partitions, spread_by=key), path)
     return mean_absolute_error(load(path), test)

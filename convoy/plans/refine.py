@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from convoy.operators.silver import (
     GPS_RULES,
@@ -16,6 +17,7 @@ from convoy.operators.silver import (
     rejected,
     topic_counts,
 )
+from convoy.sources.bronze import ENVELOPE
 
 
 def refine_topic(spark: SparkSession, envelopes: DataFrame, rules: TopicRules, root: str) -> None:
@@ -26,22 +28,28 @@ def refine_topic(spark: SparkSession, envelopes: DataFrame, rules: TopicRules, r
     """
     checked = check_events(envelopes, rules).withColumn("accepted", F.col("reject_reason").isNull())
     checked.write.mode("overwrite").partitionBy("accepted").parquet(f"{root}/checked/{rules.topic}")
-    good = accepted(read_checked(spark, root, rules.topic).where("accepted = true")).drop("accepted")
+    good = accepted(read_checked(spark, root, rules).where("accepted")).drop("accepted")
     if rules.topic == GPS_RULES.topic:
         good = in_track_order(dedup_positions(good))
     good.write.mode("overwrite").parquet(f"{root}/silver/{rules.topic}")
 
 
-def read_checked(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/checked/{topic}")
+def _checked_schema(spark: SparkSession, rules: TopicRules) -> T.StructType:
+    """Columns of the checked table. A topic without events leaves no file to read them from."""
+    columns = check_events(spark.createDataFrame([], ENVELOPE), rules).schema
+    return T.StructType(columns.fields).add("accepted", T.BooleanType())
+
+
+def read_checked(spark: SparkSession, root: str, rules: TopicRules) -> DataFrame:
+    return spark.read.schema(_checked_schema(spark, rules)).parquet(f"{root}/checked/{rules.topic}")
 
 
 def read_silver(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return spark.read.parquet(f"{root}/silver/{topic}")
 
 
-def read_quarantine(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    return rejected(read_checked(spark, root, topic).where("accepted = false"))
+def read_quarantine(spark: SparkSession, root: str, rules: TopicRules) -> DataFrame:
+    return rejected(read_checked(spark, root, rules).where("NOT accepted"))
 
 
 def refine_bronze(spark: SparkSession, envelopes: DataFrame, root: str) -> DataFrame:
@@ -49,6 +57,6 @@ def refine_bronze(spark: SparkSession, envelopes: DataFrame, root: str) -> DataF
     counts = None
     for topic, rules in RULES.items():
         refine_topic(spark, envelopes.where(F.col("kafka_topic") == topic), rules, root)
-        counted = topic_counts(read_checked(spark, root, topic))
+        counted = topic_counts(read_checked(spark, root, rules))
         counts = counted if counts is None else counts.unionByName(counted)
     return counts

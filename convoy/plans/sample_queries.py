@@ -117,9 +117,9 @@ def _refined(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "refined")
     refine_bronze(spark, _all_envelopes(SampleFleet(spark, sf_dir)), root)
     counts = None
-    for topic in silver.RULES:
+    for topic, rules in silver.RULES.items():
         good = read_silver(spark, root, topic).agg(F.count(F.lit(1)).alias("silver_rows"))
-        bad = read_quarantine(spark, root, topic).agg(F.count(F.lit(1)).alias("quarantine_rows"))
+        bad = read_quarantine(spark, root, rules).agg(F.count(F.lit(1)).alias("quarantine_rows"))
         row = kpi.merge_rows(good, bad).select(F.lit(topic).alias("topic"), "silver_rows", "quarantine_rows")
         counts = row if counts is None else counts.unionByName(row)
     return counts
@@ -189,14 +189,14 @@ def _split(t: SampleFleet) -> DataFrame:
 
 
 def _model_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = SampleFleet(spark, sf_dir).trips_for_training
-    return ml.train_and_save(spark, rows, KEY, work_dir(spark, "fuel-model"))
+    rows, cores = SampleFleet(spark, sf_dir).trips_for_training, spark.sparkContext.defaultParallelism
+    return ml.train_and_save(rows, KEY, work_dir(spark, "fuel-model"), partitions=cores)
 
 
 def _scored(t: SampleFleet) -> DataFrame:
-    rows = t.trips_for_training
+    rows, cores = t.trips_for_training, t.spark.sparkContext.defaultParallelism
     training, _ = ml.split(rows, KEY)
-    return ml.score(ml.train(training), rows)
+    return ml.score(ml.train(training, partitions=cores, spread_by=KEY), rows)
 
 
 def queries() -> dict[str, Query]:

@@ -27,3 +27,12 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def drop(spark: SparkSession, path: str) -> None:
     fs, where = _at(spark, path)
     fs.delete(where, True)
+
+
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below path whose write has been committed."""
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    return [name for name in names if exists(spark, f"{path}/{name}/_SUCCESS")]

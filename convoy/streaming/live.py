@@ -8,8 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from convoy.functions.predicates import motion_status, overspeed
 from convoy.operators.latest import first_rows
+from convoy.sources import files
 
 REFRESH = "10 seconds"
+# Batches between two snapshots; an hour at the usual refresh.
+SNAPSHOT_EVERY = 360
 
 
 def live_positions(positions: DataFrame) -> DataFrame:
@@ -28,16 +31,24 @@ def live_positions(positions: DataFrame) -> DataFrame:
             "_newest.longitude",
             "_newest.speed",
             motion_status(F.col("_newest.speed")).alias("status"),
-            overspeed(F.col("_newest.speed")).alias("overspeed"),
+            F.coalesce(overspeed(F.col("_newest.speed")), F.lit(False)).alias("overspeed"),
         )
     )
 
 
-def write_live(positions: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write the vehicles that moved in each micro-batch. A batch run again replaces its own folder."""
+def write_live(
+    positions: DataFrame, path: str, checkpoint: str, snapshot_every: int = SNAPSHOT_EVERY, **trigger
+) -> StreamingQuery:
+    """Write the vehicles that moved in each micro-batch, and now and then all of them.
+
+    A batch run again replaces its own folders. Readers take the last snapshot and the changes after it.
+    """
 
     def save(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        changed.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
+        if (batch + 1) % snapshot_every == 0:
+            current = read_live(changed.sparkSession, path)
+            current.write.mode("overwrite").parquet(f"{path}/snapshots/batch={batch}")
 
     return (
         live_positions(positions)
@@ -51,4 +62,10 @@ def write_live(positions: DataFrame, path: str, checkpoint: str, **trigger) -> S
 
 def read_live(spark: SparkSession, path: str) -> DataFrame:
     """The current position of every vehicle, from its last change."""
-    return first_rows(spark.read.parquet(path), ["vehicle_id"], [F.col("batch").desc()]).drop("batch")
+    changes = spark.read.parquet(f"{path}/changes")
+    done = files.finished(spark, f"{path}/snapshots")
+    if done:
+        newest = max(int(name.split("=")[1]) for name in done)
+        snapshot = spark.read.parquet(f"{path}/snapshots/batch={newest}").withColumn("batch", F.lit(newest))
+        changes = changes.where(F.col("batch") > newest).unionByName(snapshot)
+    return first_rows(changes, ["vehicle_id"], [F.col("batch").desc()]).drop("batch")

@@ -1,0 +1,206 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from convoy.operators import kpi, reports, serving
+from convoy.sources.sample import SampleFleet
+from convoy.functions.numeric import exact_sum, mean2, round2
+
+T = datetime(2026, 9, 30, 12)
+VEHICLE = "vehicle_id string, type string, model string, depot_id string, capacity bigint"
+DELIVERY = (
+    "order_id string, route_id string, vehicle_id string, promised_time timestamp, status string, scan_time timestamp, "
+    "scan_status string"
+)
+FUEL = "vehicle_id string, timestamp timestamp, liters double, amount double, fuel_type string, odometer_km double"
+UPKEEP = "vehicle_id string, priority string, cost double, downtime_hours double"
+GPS = "vehicle_id string, timestamp timestamp, speed double"
+
+
+@pytest.fixture
+def fleet(spark):
+    """A: all facts. B: no facts. C: no depot, liters 0. D: one odometer reading."""
+    return {
+        "vehicles": spark.createDataFrame(
+            [("A", "van", "m", "D1", 1), ("B", "van", "m", "D1", 1), ("C", "bus", "m", None, 1), ("D", "bus", "m", "D2", 1)], VEHICLE
+        ),
+        "deliveries": spark.createDataFrame(
+            [
+                ("O1", "R1", "A", T, "Delivered", T, "delivered"),
+                ("O2", "R1", "A", T, "DELAYED", None, ""),
+                ("O3", "R1", "A", T, "cancelled", None, "Delayed"),
+                ("O4", "R2", "A", None, None, T, "delayed"),
+                ("O5", "R2", "C", T, "delivered", datetime(2026, 10, 1), "delivered"),
+            ],
+            DELIVERY,
+        ),
+        "gps": spark.createDataFrame([("A", T, 10.0), ("A", T, 20.0), ("A", None, None), ("C", T, 99.0), ("X", T, 1.0)], GPS),
+        "fuel": spark.createDataFrame(
+            [
+                ("A", T, 10.0, 50.5, "diesel", 100.0),
+                ("A", T, None, 25.0, "petrol", 260.0),
+                ("C", T, 0.0, 7.0, "diesel", 5.0),
+                ("D", T, 4.0, 1.0, "diesel", 10.0),
+            ],
+            FUEL,
+        ),
+        "maintenance": spark.createDataFrame(
+            [("A", "HIGH", 10.0, 20.0), ("A", "high", 5.5, 4.0), ("A", "low", None, None), ("C", "Low", 1.0, 23.99)], UPKEEP
+        ),
+    }
+
+
+def rows(df, *keys):
+    return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r.asDict() for r in df.collect()}
+
+
+def test_delivery_trend_keeps_undated_rows(fleet):
+    got = rows(kpi.delivery_trend(fleet["deliveries"]), "date")
+    assert got["2026-09-30"] == {
+        "date": "2026-09-30", "total_deliveries": 4, "delivered": 2, "delayed": 1, "on_time_rate": 50.0, "delay_rate": 25.0,
+    }
+    assert got[None]["total_deliveries"] == 1 and got[None]["on_time_rate"] == 0.0
+
+
+def test_fuel_efficiency_edges(fleet):
+    got = rows(kpi.fuel_efficiency(fleet["fuel"]), "vehicle_id")
+    assert (got["A"]["km_per_liter"], got["A"]["fuel_cost"], got["A"]["fuel_events"]) == (16.0, 75.5, 2)
+    assert got["C"]["km_per_liter"] is None
+    assert got["D"]["distance_km"] == 0.0 and got["D"]["km_per_liter"] == 0.0
+
+
+def test_cost_per_delivery_is_null_without_deliveries(fleet):
+    got = rows(kpi.cost_per_delivery(fleet["vehicles"], fleet["fuel"], fleet["deliveries"]), "vehicle_id")
+    assert got["A"] == {"vehicle_id": "A", "fuel_cost": 75.5, "deliveries": 4, "cost_per_delivery": 18.88}
+    assert got["B"]["cost_per_delivery"] is None and got["B"]["fuel_cost"] == 0.0
+    assert got["D"]["cost_per_delivery"] is None and got["D"]["fuel_cost"] == 1.0
+
+
+def test_idle_time_counts_engine_on(spark):
+    df = spark.createDataFrame(
+        [("A", "ON", 5.0, 1.0), ("A", "on", None, 1.0), ("A", "On", -1.0, None), ("A", "OFF", 5.0, 1.0)],
+        "vehicle_id string, engine_status string, fuel_level_percent double, odometer_km double",
+    )
+    assert kpi.idle_time(df).collect()[0].asDict() == {
+        "vehicle_id": "A", "telemetry_events": 4, "engine_on_events": 1, "active_engine_events": 2,
+    }
+
+
+def test_maintenance_kpi_averages_known_hours(fleet):
+    got = rows(kpi.maintenance_kpi(fleet["maintenance"]), "vehicle_id")["A"]
+    assert got == {
+        "vehicle_id": "A", "work_orders": 3, "downtime_hours": 24.0, "average_downtime_hours": 12.0, "maintenance_cost": 15.5,
+        "high_priority_orders": 2,
+    }
+
+
+@pytest.fixture
+def routes(spark):
+    return spark.createDataFrame(
+        [("R1", "a", "b", 1.0, 2.0), ("R2", "a", "b", 1.0, 2.0), ("R3", "a", "b", 1.0, 2.0)],
+        "route_id string, origin string, destination string, distance_km double, expected_duration_min double",
+    )
+
+
+def test_route_without_orders_has_no_rate(fleet, routes):
+    got = rows(kpi.route_performance(routes, fleet["deliveries"]), "route_id")
+    assert (got["R1"]["total_orders"], got["R1"]["delayed_orders"], got["R1"]["delay_rate"]) == (3, 1, 33.33)
+    assert (got["R3"]["total_orders"], got["R3"]["delivered_orders"], got["R3"]["delay_rate"]) == (0, 0, None)
+    worst = reports.worst_routes(kpi.route_performance(routes, fleet["deliveries"])).collect()
+    assert [r.route_id for r in worst] == ["R1", "R2"]
+
+
+def test_vehicle_kpi_edges(fleet):
+    got = rows(kpi.vehicle_kpi(*(fleet[n] for n in ("vehicles", "deliveries", "gps", "fuel", "maintenance"))), "vehicle_id")
+    a, b = got["A"], got["B"]
+    assert (a["deliveries"], a["gps_events"], a["average_speed"], a["maximum_speed"]) == (4, 1, 15.0, 20.0)
+    assert (a["km_per_liter"], a["cost_per_delivery"], a["maintenance_downtime_hours"]) == (16.0, 18.88, 24.0)
+    assert (b["deliveries"], b["gps_events"], b["average_speed"], b["maximum_speed"]) == (0, 0, None, None)
+    assert (b["km_per_liter"], b["cost_per_delivery"], b["maintenance_downtime_hours"]) == (0.0, 0.0, 0.0)
+
+
+def test_depot_kpi_leaves_vehicles_without_depot_at_zero(fleet):
+    got = rows(kpi.depot_performance(*(fleet[n] for n in ("vehicles", "deliveries", "gps", "fuel", "maintenance"))), "depot_id")
+    assert got["D1"] == {
+        "depot_id": "D1", "vehicles": 2, "deliveries": 4, "average_speed": 15.0, "fuel_cost": 75.5, "maintenance_downtime": 24.0,
+    }
+    assert got[None] == {
+        "depot_id": None, "vehicles": 1, "deliveries": 0, "average_speed": 0.0, "fuel_cost": 0.0, "maintenance_downtime": 0.0,
+    }
+    assert got["D2"]["fuel_cost"] == 1.0
+
+
+def test_executive_and_dashboard_rows(spark, fleet, routes):
+    drivers = spark.createDataFrame([("X",)], "driver_id string")
+    tables = (fleet["vehicles"], drivers, routes, fleet["deliveries"], fleet["fuel"], fleet["maintenance"])
+    exec_row = kpi.executive_kpis(*tables).collect()[0].asDict()
+    assert exec_row["fleet_km_per_liter"] == 18.21  # (260 - 5) / 14 over the whole fleet
+    assert exec_row["fleet_cost_per_delivery"] == 83.5 / 5 and exec_row["on_time_delivery_rate"] == 40.0
+    board = serving.dashboard_summary(*tables).collect()[0].asDict()
+    assert board["on_time_delivery_rate_percent"] == 50.0 and board["fuel_cost_per_delivery"] == 16.7
+    score = serving.delivery_performance(fleet["deliveries"]).collect()[0].asDict()
+    assert score == {"total_deliveries": 3, "delivered": 2, "delayed": 1, "on_time_rate_percent": 66.67}
+
+
+def test_empty_tables_give_zeros_or_nulls(spark, fleet, routes):
+    none = {n: df.limit(0) for n, df in fleet.items()}
+    drivers = spark.createDataFrame([], "driver_id string")
+    tables = (none["vehicles"], drivers, routes.limit(0), none["deliveries"], none["fuel"], none["maintenance"])
+    board = serving.dashboard_summary(*tables).collect()[0].asDict()
+    assert set(board.values()) == {0}
+    exec_row = kpi.executive_kpis(*tables).collect()[0].asDict()
+    assert exec_row["total_deliveries"] == 0 and exec_row["on_time_delivery_rate"] is None
+    assert exec_row["fleet_cost_per_delivery"] is None
+    assert serving.delivery_performance(none["deliveries"]).collect()[0].asDict()["on_time_rate_percent"] == 0.0
+
+
+def test_exception_limits(spark):
+    by_route = spark.createDataFrame(
+        [("R1", 5, 20.0), ("R2", 5, 19.99), ("R3", 0, None)], "route_id string, total_orders bigint, delay_rate double"
+    )
+    fuel = spark.createDataFrame([("A", 8.0), ("B", 7.99), ("C", 0.0), ("D", None)], "vehicle_id string, km_per_liter double")
+    upkeep = spark.createDataFrame([("A", 24.0), ("B", 23.99)], "vehicle_id string, downtime_hours double")
+    found = kpi.exceptions(by_route, fuel, upkeep)
+    assert {(r.exception_type, r.entity_id) for r in found.collect()} == {
+        ("DELAYED_ROUTE", "R1"), ("LOW_FUEL_EFFICIENCY", "B"), ("HIGH_MAINTENANCE_DOWNTIME", "A"),
+    }
+    assert [r.severity for r in reports.top_exceptions(found).collect()] == ["HIGH", "HIGH", "MEDIUM"]
+    assert kpi.exceptions(by_route, fuel, upkeep, delay_rate_from=0, km_per_liter_below=100, downtime_from=0).count() == 2 + 2 + 2
+
+
+def test_most_recent_is_ordered_to_the_last_column(spark):
+    df = spark.createDataFrame([(1, T, "b"), (2, T, "a"), (3, None, "z")], "k int, at timestamp, x string")
+    assert [r.k for r in reports.most_recent(df.select("x", "at", "k"), "at", 2).collect()] == [2, 1]
+
+
+def test_grouped_plans_equal_the_joined_form(spark):
+    """All facts joined first, then counted distinct, on whole sample tables."""
+    t = SampleFleet(spark, "/root/testdata/sf0.001")
+    args = [t[n] for n in ("dim_vehicle", "fact_delivery", "fact_gps", "fact_fuel", "fact_maintenance")]
+    vehicles, deliveries, gps, fuel, upkeep = args
+    fanned = (
+        vehicles.join(deliveries.select("vehicle_id", "order_id"), "vehicle_id", "left")
+        .join(gps.select("vehicle_id", "timestamp", "speed"), "vehicle_id", "left")
+        .groupBy("vehicle_id")
+        .agg(
+            F.count_distinct("order_id").alias("deliveries"),
+            F.count_distinct("timestamp").alias("gps_events"),
+            mean2(exact_sum("speed"), F.count("speed")).alias("average_speed"),
+            round2(F.max("speed")).alias("maximum_speed"),
+        )
+    )
+    names = fanned.columns
+    assert sorted(fanned.collect(), key=repr) == sorted(kpi.vehicle_kpi(*args).select(*names).collect(), key=repr)
+
+    depot = vehicles.select("vehicle_id", "depot_id")
+    literal = depot.groupBy("depot_id").agg(F.count_distinct("vehicle_id").alias("vehicles"))
+    for fact, out in (
+        (deliveries, F.count_distinct("order_id").alias("deliveries")),
+        (gps, mean2(exact_sum("speed"), F.count("speed")).alias("average_speed")),
+        (fuel, round2(exact_sum("amount")).alias("fuel_cost")),
+        (upkeep, round2(exact_sum("downtime_hours")).alias("maintenance_downtime")),
+    ):
+        literal = literal.join(depot.join(fact, "vehicle_id", "left").groupBy("depot_id").agg(out), "depot_id", "left")
+    literal = literal.fillna(0.0, ["average_speed", "fuel_cost", "maintenance_downtime"])
+    assert sorted(literal.collect(), key=repr) == sorted(kpi.depot_performance(*args).select(*literal.columns).collect(), key=repr)
