@@ -6,7 +6,7 @@ where no event could be read from it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.schemas import TOPICS
@@ -30,14 +30,18 @@ def kafka_messages(
     return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
+def _parsed(text: str) -> Column:
+    """The text as a VARIANT, NULL where it is no JSON. Exploding an array of one keeps later filters above the parsing."""
+    return F.explode(F.array(F.try_parse_json(text)))
+
+
 def envelope_from_messages(messages: DataFrame) -> DataFrame:
     """Add the message's place in its topic to the event."""
-    event = F.try_parse_json("value")
-    return messages.select(
+    return messages.select("*", _parsed("value").alias("event")).select(
         "partition",
         "offset",
-        event.alias("event"),
-        F.when(event.isNull(), F.col("value")).alias("raw"),
+        "event",
+        F.when(F.col("event").isNull(), F.col("value")).alias("raw"),
         F.col("topic").alias("kafka_topic"),
     )
 
@@ -55,9 +59,9 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 def envelope_from_lines(lines: DataFrame) -> DataFrame:
     """Envelopes from JSON lines that already carry topic, partition and offset. Blank lines are skipped."""
-    parsed = lines.where(F.trim("value") != "").select("value", F.try_parse_json("value").alias("_line"))
+    parsed = lines.where(F.trim("value") != "").select("value", _parsed("value").alias("_line"))
 
-    def part(path: str, kind: str):
+    def part(path: str, kind: str) -> Column:
         return F.try_variant_get("_line", path, kind)
 
     return parsed.select(

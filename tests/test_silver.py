@@ -146,12 +146,17 @@ def test_own_rules(spark):
 
 
 def test_json_is_parsed_once(spark, tmp_path):
-    """The filter on the outcome must stay above the parsing."""
+    """Filters on the outcome and on the topic must stay above the parsing."""
     (tmp_path / "in.txt").write_text(line(GOOD))
-    lines = bronze.read_lines(spark, str(tmp_path / "in.txt"))
-    good = silver.accepted(silver.check_events(bronze.envelope_from_lines(lines), silver.GPS_RULES))
-    plan = good._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson(value") == 1
+    from_lines = bronze.envelope_from_lines(bronze.read_lines(spark, str(tmp_path / "in.txt")))
+    spark.createDataFrame([("gps-events", 0, 1, json.dumps(GOOD))], bronze.MESSAGE).write.parquet(str(tmp_path / "in"))
+    from_messages = bronze.envelope_from_messages(spark.read.parquet(str(tmp_path / "in")))
+    for envelopes in (from_lines, from_messages):
+        one_topic = envelopes.where(F.col("kafka_topic") == "gps-events")
+        good = silver.accepted(silver.check_events(one_topic, silver.GPS_RULES))
+        plan = good._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(value") == 1
+        assert good.count() == 1
 
 
 def test_track_order_splits_one_vehicle(spark):
