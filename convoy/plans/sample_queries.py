@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convoy.functions.predicates import motion_status, overspeed, popup_status
 from convoy.operators import kpi, latest, lookup, ml, quality, reports, serving, silver
+from convoy.operators.lookup import attach_last_scan
 from convoy.plans.kpi_views import kpi_view, publish_kpis
 from convoy.plans.refine import read_quarantine, read_silver, refine_bronze
-from convoy.plans.warehouse import trips_from_gps
+from convoy.plans.warehouse import ORDER_COLUMNS, read_orders, read_scans, trips_from_gps
 from convoy.session import work_dir
 from convoy.sources import bronze
+from convoy.sources.csv import LOADS, load_csv
 from convoy.sources.sample import SampleFleet
 from convoy.sources.tables import copy_tables, read_table, write_table
 from convoy.streaming.ingest import write_bronze
@@ -168,6 +170,32 @@ def _laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy(day).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("vehicle_id").alias("vehicles"))
 
 
+def _iso(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss").alias(name)
+
+
+def _csv_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles written as a raw file in another column order, then loaded by header name."""
+    root = work_dir(spark, "raw")
+    vehicles = SampleFleet(spark, sf_dir)["dim_vehicle"].withColumnRenamed("depot_id", "depot")
+    columns = ["model", "vehicle_id", "depot", "fuel_capacity_liters", "type", "vehicle_key"]
+    vehicles.select(*columns).write.option("header", True).csv(f"{root}/vehicles.csv")
+    load = next(load for load in LOADS if load.table == "dim_vehicle")
+    return load_csv(spark, root, load).drop("vehicle_key")
+
+
+def _csv_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and scans written as raw files, then read, typed and looked up as the warehouse build does."""
+    fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "raw")
+    orders = fleet["fact_delivery"].select(*[_iso(c) if c == "promised_time" else F.col(c) for c in ORDER_COLUMNS])
+    scans = fleet.scans.select(
+        "location", F.col("scan_status").alias("status"), _iso("scan_time"), F.col("order_id")
+    )
+    orders.write.option("header", True).csv(f"{root}/orders.csv")
+    scans.write.option("header", True).csv(f"{root}/delivery_scans.csv")
+    return plain(attach_last_scan(read_orders(spark, root), read_scans(spark, root)))
+
+
 def _trail_points(t: SampleFleet) -> DataFrame:
     trail = latest.trails(t["fact_gps"], tiebreak="gps_key", min_points=2)
     points = trail.select("vehicle_id", F.posexplode("trail").alias("position", "point"))
@@ -206,6 +234,8 @@ def queries() -> dict[str, Query]:
         "row_counts": _over(quality.row_counts),
         "warehouse_copy": _copied,
         "warehouse_layout": _laid_out,
+        "csv_vehicles": _csv_vehicles,
+        "csv_deliveries": _csv_deliveries,
         "dim_depot": _over(lambda t: t["dim_depot"]),
         "dim_date": _over(lambda t: t["dim_date"]),
         "fact_delivery": _over(lambda t: t["fact_delivery"].drop("delivery_key")),

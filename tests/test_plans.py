@@ -6,7 +6,7 @@ import __spark_entry__ as entry_points
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
-    "warehouse_copy", "warehouse_layout", "refined_tables", "bronze_ingest", "silver_stream", "live_stream", "model_error",
+    "csv_vehicles", "csv_deliveries", "warehouse_copy", "warehouse_layout", "refined_tables", "bronze_ingest", "silver_stream", "live_stream", "model_error",
     "model_scores",
 }
 QUERIES = {n: q for n, q in entry_points.queries().items() if n not in WRITES}
