@@ -71,9 +71,9 @@ CTES = {
         QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC,
             l_suppkey DESC, l_partkey DESC, l_extendedprice DESC, scan_status DESC, location DESC) = 1""",
     # Scans as a raw file has them, without the line number that settles equal times elsewhere.
-    "file_scans": """SELECT l_orderkey, l_shipdate AS at, l_linestatus AS place,
+    "file_scans": """SELECT l_orderkey, l_shipdate AS seen, l_linestatus AS place,
         CASE l_returnflag WHEN 'A' THEN 'delivered' WHEN 'R' THEN 'delayed' ELSE 'in_transit' END AS outcome FROM lineitem
-        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY at DESC, outcome DESC, place DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY seen DESC, outcome DESC, place DESC) = 1""",
     "fact_delivery": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_custkey AS vehicle_id,
         o_orderdate AS promised_time,
         CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'P' THEN 'Delayed' ELSE 'in_transit' END AS status,
@@ -201,7 +201,7 @@ QUERIES = {
     "csv_deliveries": f"""SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
         CAST(d.route_id AS VARCHAR) AS route_id, CAST(vehicle_id AS VARCHAR) AS vehicle_id,
         CAST(d.driver_id AS VARCHAR) AS driver_id, {when('promised_time')} AS promised_time, status,
-        {when('s.at')} AS scan_time, coalesce(s.outcome, '') AS scan_status, coalesce(s.place, '') AS location
+        {when('s.seen')} AS scan_time, coalesce(s.outcome, '') AS scan_status, coalesce(s.place, '') AS location
         FROM fact_delivery d LEFT JOIN file_scans s ON s.l_orderkey = order_id""",
     "dim_depot": "SELECT * FROM dim_depot",
     "dim_date": "SELECT * FROM dim_date",
