@@ -3,8 +3,7 @@
 Vectors get one more component, which makes their lengths equal, so that the largest inner product is the smallest distance.
 Each hash is one projection, and its index is the sorted array of all projected values. A query opens a window around its own
 value in every array; a vector that lies in enough windows is a candidate. While there are too few candidates the windows
-widen by a constant factor, over the same arrays: only what a window newly covers is counted. Candidates are verified with
-the original vectors in double precision.
+widen by a constant factor, over the same arrays. Candidates are verified with the original vectors in double precision.
 
 Vectors and queries are dealt to blocks of bounded size, and each pair of blocks is a task, so that the search is one pass
 over the queries and the index is never in one place.
@@ -31,14 +30,15 @@ BLOCK = 8192
 class Settings:
     """How the index searches; the defaults are meant for hundreds of thousands of vectors of some hundred components.
 
-    ``candidates`` is the share of a block that is verified at least, besides ``k``.
+    At least the share ``candidates`` of a block is verified, and ``per_neighbour`` vectors for each neighbour asked for.
     """
 
-    projections: int = 64
-    threshold: float = 0.375
-    first: float = 0.08
-    widen: float = 1.4
-    candidates: float = 0.1
+    projections: int = 96
+    threshold: float = 0.5
+    first: float = 0.3
+    widen: float = 1.15
+    candidates: float = 0.3
+    per_neighbour: int = 32
     seed: int = 42
 
 
@@ -111,8 +111,8 @@ def _search_block(dim, longest, k, settings, left: pa.Table, right: pa.Table) ->
     query_ids, q = _matrix(right, dim)
     index = Index(v, longest, settings)
     rows = []
-    for query_id, vector, places in zip(query_ids, q, index.project(q * (longest / np.linalg.norm(q, axis=1))[:, None])):
-        found = index.candidates(places, k + 1)
+    for query_id, vector, values in zip(query_ids, q, index.project(q * (longest / np.linalg.norm(q, axis=1))[:, None])):
+        found = index.candidates(values, k + 1)
         found = found[ids[found] != query_id]
         # summed row by row, so that equal vectors get equal scores
         scores = (v[found] * vector).sum(axis=1)
@@ -132,8 +132,11 @@ class Index:
         self.axes = draw.standard_normal((v.shape[1], settings.projections))
         self.extra = draw.standard_normal(settings.projections)
         values = v @ self.axes + rest[:, None] * self.extra
-        self.order = np.argsort(values, axis=0).T.copy()
-        self.values = np.sort(values, axis=0).T.copy()
+        order = np.argsort(values, axis=0, kind="stable")
+        self.values = np.take_along_axis(values, order, axis=0).T.copy()
+        # where each vector stands in each sorted array
+        self.places = np.empty(values.T.shape, np.int32)
+        np.put_along_axis(self.places, order.T, np.arange(self.n, dtype=np.int32)[None, :], axis=1)
         # half a window that holds the share ``first`` of the block in the middle of an array, on average
         low, high = np.quantile(values, [0.5 - settings.first / 2, 0.5 + settings.first / 2], axis=0)
         self.half = max(float(np.mean(high - low)) / 2, 1e-9 * longest)
@@ -142,25 +145,18 @@ class Index:
         """Queries scaled to the common length have nothing left for the extra component."""
         return q @ self.axes
 
-    def candidates(self, places: np.ndarray, k: int) -> np.ndarray:
+    def candidates(self, values: np.ndarray, k: int) -> np.ndarray:
         """Vectors that collide in enough windows, after widening until there are enough of them."""
         s = self.settings
-        enough = min(self.n, max(k, math.ceil(s.candidates * self.n)))
+        enough = min(self.n, max(k * s.per_neighbour, math.ceil(s.candidates * self.n)))
         least = max(1, math.ceil(s.threshold * s.projections))
-        counts = np.zeros(self.n, np.int64)
-        m = range(s.projections)
-        low = high = None
         half = self.half
         while True:
-            wide_low = [int(np.searchsorted(self.values[j], places[j] - half)) for j in m]
-            wide_high = [int(np.searchsorted(self.values[j], places[j] + half, "right")) for j in m]
-            if low is None:
-                parts = [self.order[j, wide_low[j] : wide_high[j]] for j in m]
-            else:
-                parts = [self.order[j, wide_low[j] : low[j]] for j in m] + [self.order[j, high[j] : wide_high[j]] for j in m]
-            counts += np.bincount(np.concatenate(parts), minlength=self.n)
-            low, high = wide_low, wide_high
-            found = np.flatnonzero(counts >= least)
-            if len(found) >= enough or all(b - a == self.n for a, b in zip(low, high)):
+            low = np.array([a.searchsorted(x - half) for a, x in zip(self.values, values)], np.int32)
+            high = np.array([a.searchsorted(x + half, "right") for a, x in zip(self.values, values)], np.int32)
+            # a place left of the window wraps around to a large number
+            inside = (self.places - low[:, None]).view(np.uint32) < (high - low).view(np.uint32)[:, None]
+            found = np.flatnonzero(inside.sum(axis=0, dtype=np.int16) >= least)
+            if len(found) >= enough or ((high - low) == self.n).all():
                 return found
             half *= s.widen

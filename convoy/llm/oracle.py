@@ -16,12 +16,11 @@ WITH doc AS (
   SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
   FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
 ), lengths AS (SELECT DISTINCT n FROM win),
-hit AS (
-  SELECT DISTINCT doc_id, item_id, i, g.n
-  FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
-        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, lengths WHERE len(w) >= n)) g
-  JOIN win ON win.gram = g.gram AND win.n = g.n
-), words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+grams AS (
+  SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram,
+         unnest(range(1, len(w) - n + 2)) AS i
+  FROM doc, lengths WHERE len(w) >= n
+), hit AS (SELECT DISTINCT doc_id, item_id, i, n FROM grams JOIN win USING (gram, n)), words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
 found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
@@ -36,8 +35,9 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 SUBSTRING_DEDUP = r"""
 WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (
-  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS gram,
+         unnest(range(1, len(w) - 11)) AS i
+  FROM doc WHERE len(w) >= 13
 ),
 first AS (SELECT gram, min(doc_id) AS owner FROM win GROUP BY gram HAVING min(doc_id) <> max(doc_id)),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (gram) WHERE doc_id > owner),

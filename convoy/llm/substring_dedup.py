@@ -45,7 +45,7 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
     )
     packed = source.mapInArrow(partial(_pack_batches, window, k, buckets), "bucket int, known boolean, pack binary")
-    return packed.groupBy("bucket").applyInArrow(partial(_count_bucket, window), SPANS)
+    return packed.groupBy("bucket").applyInArrow(lambda packs: _count_bucket(window, packs), SPANS)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -142,13 +142,16 @@ def learn(
     max_entries: int = 2_000,
     max_exceptions: int = 500,
     least_evidence: float = 14.0,
+    least_new: float = 3.0,
 ) -> Model:
     """Learn a model from labelled texts.
 
     Of each label about ``max_rows`` rows are used at most, chosen by a hash of the id; ids with both labels, null ids and
-    null labels are left out. An entry needs a log-likelihood ratio of ``least_evidence`` between the two labels, and at
-    most ``max_entries`` stay, those with the most evidence. A word pair around an entry becomes an exception if it has
-    as much evidence for the clean label. Without rows of both labels the model is empty.
+    null labels are left out. An entry needs a log-likelihood ratio of ``least_evidence`` between the two labels, and
+    of ``least_new`` in the toxic texts that the entries before it leave unexplained; the ``max_entries`` patterns with the
+    most evidence are tried.
+    A word pair around an entry becomes an exception if it has as much evidence for the clean label. Without rows of both
+    labels the model is empty.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -170,7 +173,9 @@ def learn(
     frequent = toxic.orderBy(F.desc("n"), "pattern").limit(max_candidates)
     candidates = {r["pattern"]: r["n"] for r in frequent.collect()}
     clean = {r["pattern"]: r["n"] for r in _counted(sample.where("label = 0"), frozenset(candidates)).collect()}
-    weights = _entries(candidates, clean, sizes, least_evidence, max_entries)
+    rated = _rated(candidates, clean, sizes, least_evidence, max_entries)
+    held = sample.where("label = 1").mapInArrow(partial(_held, rated), "places array<int>").collect()
+    weights = _entries(rated, [r["places"] for r in held], clean, sizes, least_new)
     around = sample.mapInArrow(partial(_pairs, Model(weights)), "label int, pattern string, n long")
     around = around.groupBy("pattern").agg(
         F.sum(F.expr("if(label = 0, n, 0)")).alias("clean"), F.sum(F.expr("if(label = 1, n, 0)")).alias("toxic")
@@ -246,8 +251,8 @@ def _evidence(k: int, z: int, size: int, other: int) -> float:
     return part(k, rate * size) + part(z, rate * other) + part(size - k, (1 - rate) * size) + part(other - z, (1 - rate) * other)
 
 
-def _entries(toxic, clean, sizes, least, most) -> dict[str, float]:
-    """The patterns with most evidence. Of nested ones only the best stays; on a tie, the longest word start."""
+def _rated(toxic, clean, sizes, least, most) -> list[tuple[str, float]]:
+    """(pattern, log odds) of the patterns with most evidence; on a tie, longer word starts first, whole words last."""
     rated = []
     for pattern, k in toxic.items():
         z = clean.get(pattern, 0)
@@ -255,15 +260,47 @@ def _entries(toxic, clean, sizes, least, most) -> dict[str, float]:
         evidence = _evidence(k, z, sizes[1], sizes[0])
         if evidence >= least and odds >= math.log(4):
             rated.append((-round(evidence, 6), pattern.endswith(" "), -len(pattern), pattern, min(odds, 6.0)))
+    return [(pattern, odds) for *_, pattern, odds in sorted(rated)[:most]]
+
+
+def _held(rated, batches):
+    """Which of the rated patterns each text holds."""
+    folds, place = _folds(), {pattern: i for i, (pattern, _) in enumerate(rated)}
+    for batch in batches:
+        found = []
+        for text in batch.column("text").to_pylist():
+            words = set(fold(text, folds))
+            patterns = {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in STARTS if n <= len(w)}
+            found.append([place[p] for p in patterns & place.keys()])
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["places"])
+
+
+def _entries(rated, held, clean, sizes, least) -> dict[str, float]:
+    """Entries one after another, each the one with most evidence in the toxic texts that no entry before it explains.
+
+    Words that only share texts with an entry, as those of its copies do, have no evidence left once it is chosen.
+    """
+    texts: list[set[int]] = [set() for _ in rated]
+    for text, places in enumerate(held):
+        for i in places:
+            texts[i].add(text)
     chosen: dict[str, float] = {}
-    starts: set[str] = set()
-    for _, _, _, pattern, odds in sorted(rated):
-        nested = any(pattern[:n] in chosen for n in range(2, len(pattern))) or pattern in starts
-        if not nested:
-            chosen[pattern] = odds
-            starts.update(pattern[:n] for n in range(2, len(pattern) + 1))
-            if len(chosen) == most:
-                break
+    open_texts = sizes[1]
+    rest = set(range(len(rated)))
+    while rest and open_texts:
+        gain = lambda i: _evidence(len(texts[i]), clean.get(rated[i][0], 0), open_texts, sizes[0])
+        best, evidence = min(((i, gain(i)) for i in rest), key=lambda x: (-round(x[1], 6), x[0]))
+        if evidence < least or len(texts[best]) * sizes[0] <= 2 * clean.get(rated[best][0], 0) * open_texts:
+            break
+        pattern, odds = rated[best]
+        chosen[pattern] = odds
+        explained = set(texts[best])
+        open_texts -= len(explained)
+        for i in list(rest):
+            texts[i] -= explained
+            if not texts[i]:
+                rest.discard(i)
+        rest.discard(best)
     return chosen
 
 
