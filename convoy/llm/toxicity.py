@@ -141,17 +141,17 @@ def learn(
     max_candidates: int = 50_000,
     max_entries: int = 2_000,
     max_exceptions: int = 500,
-    least_evidence: float = 14.0,
-    least_new: float = 3.0,
+    least_evidence: float = 8.0,
+    least_weight: float = 0.5,
 ) -> Model:
     """Learn a model from labelled texts.
 
     Of each label about ``max_rows`` rows are used at most, chosen by a hash of the id; ids with both labels, null ids and
-    null labels are left out. An entry needs a log-likelihood ratio of ``least_evidence`` between the two labels, and
-    of ``least_new`` in the toxic texts that the entries before it leave unexplained; the ``max_entries`` patterns with the
-    most evidence are tried.
-    A word pair around an entry becomes an exception if it has as much evidence for the clean label. Without rows of both
-    labels the model is empty.
+    null labels are left out. A pattern is tried if it has a log-likelihood ratio of ``least_evidence`` between the two labels,
+    and if it is among the ``max_entries`` with the most. Its weight comes from a ridge regression over all that are tried,
+    so that words which merely share copies with an entry get next to none; entries weigh ``least_weight`` or more. A word
+    pair around an entry becomes an exception if it has as much evidence for the clean label. Without rows of both labels
+    the model is empty.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -174,8 +174,9 @@ def learn(
     candidates = {r["pattern"]: r["n"] for r in frequent.collect()}
     clean = {r["pattern"]: r["n"] for r in _counted(sample.where("label = 0"), frozenset(candidates)).collect()}
     rated = _rated(candidates, clean, sizes, least_evidence, max_entries)
-    held = sample.where("label = 1").mapInArrow(partial(_held, rated), "places array<int>").collect()
-    weights = _entries(rated, [r["places"] for r in held], clean, sizes, least_new)
+    held = sample.mapInArrow(partial(_held, rated), "label int, places array<int>").where("size(places) > 0").collect()
+    fitted = _weights(len(rated), [r["places"] for r in held], [r["label"] for r in held], sizes)
+    weights = {pattern: float(w) for pattern, w in zip(rated, fitted) if w >= least_weight}
     around = sample.mapInArrow(partial(_pairs, Model(weights)), "label int, pattern string, n long")
     around = around.groupBy("pattern").agg(
         F.sum(F.expr("if(label = 0, n, 0)")).alias("clean"), F.sum(F.expr("if(label = 1, n, 0)")).alias("toxic")
@@ -251,60 +252,64 @@ def _evidence(k: int, z: int, size: int, other: int) -> float:
     return part(k, rate * size) + part(z, rate * other) + part(size - k, (1 - rate) * size) + part(other - z, (1 - rate) * other)
 
 
-def _rated(toxic, clean, sizes, least, most) -> list[tuple[str, float]]:
-    """(pattern, log odds) of the patterns with most evidence; on a tie, longer word starts first, whole words last."""
+def _rated(toxic, clean, sizes, least, most) -> list[str]:
+    """The patterns with most evidence. Of nested ones only the best stays; on a tie, the longest word start."""
     rated = []
     for pattern, k in toxic.items():
         z = clean.get(pattern, 0)
-        odds = math.log(((k + 0.5) / (sizes[1] + 1)) / ((z + 0.5) / (sizes[0] + 1)))
         evidence = _evidence(k, z, sizes[1], sizes[0])
-        if evidence >= least and odds >= math.log(4):
-            rated.append((-round(evidence, 6), pattern.endswith(" "), -len(pattern), pattern, min(odds, 6.0)))
-    return [(pattern, odds) for *_, pattern, odds in sorted(rated)[:most]]
+        if evidence >= least and (k + 0.5) * (sizes[0] + 1) >= 4 * (z + 0.5) * (sizes[1] + 1):
+            rated.append((-round(evidence, 6), pattern.endswith(" "), -len(pattern), pattern))
+    chosen: list[str] = []
+    taken, starts = set(), set()
+    for *_, pattern in sorted(rated):
+        if pattern not in starts and not any(pattern[:n] in taken for n in range(2, len(pattern))):
+            chosen.append(pattern)
+            taken.add(pattern)
+            starts.update(pattern[:n] for n in range(2, len(pattern) + 1))
+            if len(chosen) == most:
+                break
+    return chosen
 
 
 def _held(rated, batches):
     """Which of the rated patterns each text holds."""
-    folds, place = _folds(), {pattern: i for i, (pattern, _) in enumerate(rated)}
+    folds, place = _folds(), {pattern: i for i, pattern in enumerate(rated)}
     for batch in batches:
         found = []
         for text in batch.column("text").to_pylist():
             words = set(fold(text, folds))
             patterns = {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in STARTS if n <= len(w)}
-            found.append([place[p] for p in patterns & place.keys()])
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["places"])
+            found.append(sorted(place[p] for p in patterns & place.keys()))
+        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.int32()))], ["label", "places"])
 
 
-def _entries(rated, held, clean, sizes, least) -> dict[str, float]:
-    """Entries one after another, each the one with most evidence in the toxic texts that no entry before it explains.
+def _weights(n, held, labels, sizes, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
+    """Weights of zero or above by logistic regression on which patterns a text holds, by accelerated gradient steps.
 
-    Words that only share texts with an entry, as those of its copies do, have no evidence left once it is chosen.
+    Texts that hold none count for the bias only.
     """
-    texts: list[set[int]] = [set() for _ in rated]
-    for text, places in enumerate(held):
-        for i in places:
-            texts[i].add(text)
-    chosen: dict[str, float] = {}
-    open_texts = sizes[1]
-    rest = set(range(len(rated)))
-    while rest and open_texts:
-        gain = lambda i: _evidence(len(texts[i]), clean.get(rated[i][0], 0), open_texts, sizes[0])
-        best, evidence = min(((i, gain(i)) for i in rest), key=lambda x: (-round(x[1], 6), x[0]))
-        if evidence < least or len(texts[best]) * sizes[0] <= 2 * clean.get(rated[best][0], 0) * open_texts:
-            break
-        pattern, odds = rated[best]
-        chosen[pattern] = odds
-        explained = set(texts[best])
-        open_texts -= len(explained)
-        for i in list(rest):
-            texts[i] -= explained
-            if not texts[i]:
-                rest.discard(i)
-        rest.discard(best)
-    return chosen
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> tuple[float, float, float]:
+    if not n or not held:
+        return np.zeros(n)
+    rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    columns = np.concatenate([np.array(h, np.int64) for h in held])
+    y = np.array(labels, float)
+    bare = {label: sizes[label] - int((y == label).sum()) for label in (0, 1)}
+    # the curvature is at most a quarter of the largest sum over a text's patterns of their texts
+    often = np.bincount(columns, minlength=n)
+    bound = 0.25 * max(np.bincount(rows, often[columns]).max(), 1) + ridge
+    w, z, bias, speed = np.zeros(n), np.zeros(n), math.log((sizes[1] + 1) / (sizes[0] + 1)), 1.0
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, z[columns], len(held)) + bias, -30, 30)))
+        low = 1 / (1 + math.exp(-bias))
+        bias += 4 * ((y - p).sum() + bare[1] * (1 - low) - bare[0] * low) / (sizes[0] + sizes[1])
+        step = np.maximum(0, z + (np.bincount(columns, (y - p)[rows], n) - ridge * z) / bound)
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        z, w, speed = step + (speed - 1) / faster * (step - w), step, faster
+    return w
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 50) -> tuple[float, float, float]:
     """Ridge logistic regression by Newton's method. Slopes are kept at zero or above: more hits never lower a score."""
     used = np.ones(x.shape[1], bool)
     while True:
