@@ -26,6 +26,8 @@ from convoy.llm.common import fresh, input_bytes
 K = 3
 #: Bytes of text packed at a time, and of packed strings that a bucket should get.
 PACK, BUCKET = 8 << 20, 12 << 20
+#: Compression of packs and of texts on their way through a shuffle.
+LEVEL, TEXT_LEVEL = 9, 3
 # Odd multipliers that mix hashes.
 MIX_A, MIX_B, MIX_C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 SPANS = "id long, text_hash long, start int, stop int"
@@ -58,20 +60,31 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     spans = spans.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     names = {c: fresh(docs, c) for c in spans.columns}
     spans = spans.select(*[F.col(c).alias(n) for c, n in names.items()])
-    same = (docs[id_col].cast("long") == spans[names["id"]]) & (F.xxhash64(docs[text_col]) == spans[names["text_hash"]])
+    mark = fresh(docs, "mark")
+    docs = docs.withColumn(mark, F.xxhash64(text_col))
+
+    @F.arrow_udf("binary")
+    def pressed(texts: pa.Array) -> pa.Array:
+        press = zstandard.ZstdCompressor(level=TEXT_LEVEL).compress
+        return pa.array([press(t.encode()) if t is not None else None for t in texts.to_pylist()], pa.binary())
 
     @F.arrow_udf("n_words int, n_removed int, kept string")
     def kept(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.StructArray.from_arrays(_kept(texts.to_pylist(), spans.to_pylist()), ["n_words", "n_removed", "kept"])
 
-    cut_out = kept(F.col(text_col), F.col(names["spans"]))
-    return docs.join(spans, same, "left").withColumn(fresh(docs, "dedup"), cut_out).drop(*names.values())
+    # a text meets its spans in compressed form, which halves what this shuffle moves
+    small = fresh(docs, "pressed")
+    docs = docs.withColumn(small, pressed(F.col(text_col)))
+    same = (docs[id_col].cast("long") == spans[names["id"]]) & (docs[mark] == spans[names["text_hash"]])
+    cut_out = kept(F.col(small), F.col(names["spans"]))
+    return docs.join(spans, same, "left").withColumn(fresh(docs, "dedup"), cut_out).drop(small, mark, *names.values())
 
 
 def _kept(texts, all_spans):
     counts, removed, left = [], [], []
+    unpress = zstandard.ZstdDecompressor().decompress
     for text, spans in zip(texts, all_spans):
-        words = text.encode().split() if text else []
+        words = unpress(text).split() if text else []
         counts.append(len(words))
         if spans:
             stay, at = [], 0
@@ -113,7 +126,7 @@ def _lowest(values: np.ndarray, n: int) -> np.ndarray:
 
 def _pack_batches(window, k, buckets, batches):
     held, size = [], 0
-    press = zstandard.ZstdCompressor(level=3)
+    press = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
         columns = (batch.column(c) for c in ("id", "text_hash", "text"))
         for doc, mark, text in zip(*(c.to_pylist() for c in columns)):
