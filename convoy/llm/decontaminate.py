@@ -54,15 +54,18 @@ def _fingerprints(runs: str, window: int) -> Column:
     return F.slice(least, 1, F.greatest(F.lit(0), F.size(r) - (window - 1)))
 
 
-def _marked(df: DataFrame, text: Column, span: int, shorter: list[int], keep: list[str]) -> DataFrame:
-    """``keep``, the words, and the fingerprints of windows of ``span`` words and of each length in ``shorter``."""
-    k = min(K, span)
-    df = df.withColumn("split_text", words(text)).withColumn("words", _trimmed("split_text"))
+def _worded(df: DataFrame, text: str) -> DataFrame:
+    return df.withColumn("split_text", words(F.col(text))).withColumn("words", _trimmed("split_text")).drop("split_text", text)
+
+
+def _marked(df: DataFrame, span: int, shorter: list[int]) -> DataFrame:
+    """``df``, whose words are known, with the fingerprints of windows of ``span`` words and of each length in ``shorter``."""
+    k, names = min(K, span), df.columns
     df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     df = df.withColumn("runs", _runs("hashes", k)).withColumn("of_span", _fingerprints("runs", span - k + 1))
     for n in shorter:
         df = df.withColumn(f"of_{n}", _runs("hashes", n))
-    return df.select(*keep, "words", "of_span", *[f"of_{n}" for n in shorter])
+    return df.select(*names, "of_span", *[f"of_{n}" for n in shorter])
 
 
 def _all(shorter: list[int]) -> Column:
@@ -81,7 +84,7 @@ def _placed(span: int, shorter: list[int]) -> list[Column]:
 
 def _windows(items: DataFrame, span: int, shorter: list[int]) -> DataFrame:
     """Every window of the benchmark, as (gram, print, item)."""
-    marked = _marked(items, F.col("item_text"), span, shorter, ["item"])
+    marked = cut(_marked(items, span, shorter))
     long = marked.select("item", "words", F.posexplode("of_span").alias("pos", "print"))
     out = long.select(F.concat_ws(" ", F.slice("words", F.col("pos") + 1, span)).alias("gram"), "print", "item")
     for n in shorter:
@@ -100,7 +103,7 @@ def _hits_in_place(source, prints, texts, span, shorter) -> DataFrame:
 
     One pass without a shuffle: both small tables are at hand wherever a document is.
     """
-    marked = _marked(source, F.col("doc_text"), span, shorter, ["id", "text_hash"])
+    marked = _marked(_worded(source, "doc_text"), span, shorter)
     none = F.array(F.lit(None).cast("long"))
     rows = marked.select(
         "id", "text_hash", "words", F.size("words").alias("n_words"), F.posexplode(F.concat(none, _all(shorter))).alias("pos", "print")
@@ -116,14 +119,14 @@ def _hits_in_place(source, prints, texts, span, shorter) -> DataFrame:
 def _hits_by_shuffle(source, prints, texts, span, shorter) -> DataFrame:
     """The same for a benchmark too large to send: fingerprints meet by shuffle, and only documents with hits go on."""
     keep = ["id", "text_hash"]
-    marked = _marked(source, F.col("doc_text"), span, shorter, keep)
+    marked = _marked(_worded(source, "doc_text"), span, shorter)
     every = marked.select(*keep, F.size("words").alias("n_words"))
     every = every.select(*KEPT, F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit(None).cast("string").alias("gram"))
     met = marked.select(*keep, F.explode(F.array_distinct(_all(shorter))).alias("print")).join(prints, "print", "left_semi")
     met = met.groupBy(*keep).agg(F.collect_set("print").alias("prints"))
     met = met.select(F.col("id").alias("met_id"), F.col("text_hash").alias("met_hash"), "prints")
     same = F.col("id").eqNullSafe(F.col("met_id")) & (F.col("text_hash") == F.col("met_hash"))
-    marked = _marked(source.join(met, same), F.col("doc_text"), span, shorter, [*keep, "prints"])
+    marked = _marked(_worded(source.join(met, same), "doc_text"), span, shorter)
     rows = marked.select(*keep, "words", "prints", F.size("words").alias("n_words"), F.posexplode(_all(shorter)).alias("at", "print"))
     rows = rows.where(F.array_contains("prints", F.col("print"))).withColumn("pos", F.col("at") + 1)
     rows = rows.select(*KEPT, "words", *_placed(span, shorter))
@@ -163,7 +166,8 @@ def contamination(
     item without an id is found but not listed; items that share an id are listed once. Empty tables give no hits.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("item_text"))
-    sizes = items.withColumn("split_text", words(F.col("item_text"))).select(F.size(_trimmed("split_text")).alias("n"))
+    items = cut(_worded(items, "item_text"))
+    sizes = items.select(F.size("words").alias("n"))
     shorter = sorted(r["n"] for r in sizes.where((F.col("n") > 0) & (F.col("n") < span)).distinct().collect())
     windows = cut(_windows(items, span, shorter))
     texts = windows.select("gram").distinct()
