@@ -3,7 +3,8 @@
 Double sums depend on the order in which partitions arrive, and past about 1e13 they no longer hold cents. Sums are
 therefore taken over whole numbers: the integer part and the millionths of every value, each as a 64-bit sum. Partial
 sums merge to the same value in any order, and the per-row work is two long additions. A double holds millionths up to
-about four billion; a larger value counts with what its double holds.
+about four billion; a larger value counts with what its double holds. A group with a value that this form can't carry is
+summed as doubles instead, so that no reading is left out or cut.
 """
 
 from __future__ import annotations
@@ -19,18 +20,27 @@ RATIO = "decimal(38,8)"
 
 
 def exact_sum(value: Column | str) -> Column:
-    """Sum with six decimals. A reading that is no number or no 64-bit value counts as NULL instead of ending the job."""
+    """The double next to the exact sum, or the plain double sum of a group that the exact form can't carry.
+
+    It carries no value of 9e18 or more, none finer than a millionth, none that is not finite, and no total beyond 64 bits.
+    """
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
-    finite = F.when(F.abs(number) < 9e18, number)
+    carried = F.abs(number) < 9e18
+    finite = F.when(carried, number)
     whole = F.floor(finite)
-    millionths = F.rint((finite - whole) * 1e6).cast("bigint")
-    rest = F.sum(millionths).cast("decimal(28,0)") * F.lit(Decimal("0.000001"))
-    return F.sum(whole).cast(TOTAL) + rest.cast(TOTAL)
+    scaled = (finite - whole) * 1e6
+    millionths = F.rint(scaled).cast("bigint")
+    # what arithmetic on doubles leaves over near a millionth is not a finer value
+    fine = F.abs(scaled - millionths) > 1e-3 + F.abs(finite) * 1e-9
+    odd = F.count_if(~carried | fine | F.isnan(number))
+    wholes, rest = F.try_sum(whole), F.try_sum(millionths).cast("decimal(28,0)") * F.lit(Decimal("0.000001"))
+    exact = (wholes.cast(TOTAL) + rest.cast(TOTAL)).cast("double")
+    return F.when((odd > 0) | exact.isNull(), F.sum(number)).otherwise(exact)
 
 
 def round2(value: Column) -> Column:
-    """Half-up to two decimals, as a double."""
-    return F.round(value.try_cast(RATIO), 2).cast("double")
+    """Half-up to two decimals, as a double. What has no place for cents, or is not finite, stays as it is."""
+    return F.coalesce(F.round(value.try_cast(RATIO), 2).cast("double"), value.cast("double"))
 
 
 def sum2(value: Column | str) -> Column:

@@ -146,9 +146,10 @@ def alert_counters(
     limit: float = OVERSPEED_ABOVE,
     n: int = ALERT_LIST,
 ) -> DataFrame:
-    """One row of alert counts. Overspeed counts the alert list, so it stops at the list's length."""
+    """One row of alert counts. ``overspeed`` is the length of the alert list, ``overspeed_total`` counts all of them."""
+    fast = F.count_if(overspeed("speed", limit))
     return merge_rows(
-        silver_gps.agg(F.least(F.count_if(overspeed("speed", limit)), F.lit(n)).alias("overspeed")),
+        silver_gps.agg(F.least(fast, F.lit(n)).alias("overspeed"), fast.alias("overspeed_total")),
         fleet_status(gps, tiebreak).select("stopped", "idle"),
         deliveries.agg(F.count_if(F.col("scan_status") == "delayed").alias("delayed")),
     )

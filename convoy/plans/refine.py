@@ -52,11 +52,28 @@ def read_quarantine(spark: SparkSession, root: str, rules: TopicRules) -> DataFr
     return rejected(read_checked(spark, root, rules).where("NOT accepted"))
 
 
+def unrouted(envelopes: DataFrame) -> DataFrame:
+    """Envelopes of no topic that has rules, with the reason: malformed_json, missing_topic or unknown_topic."""
+    topic = F.col("kafka_topic")
+    nameless = F.when(F.try_parse_json("raw").isNull() & F.col("event").isNull(), "malformed_json").otherwise("missing_topic")
+    lost = envelopes.where(topic.isNull() | ~topic.isin(*RULES))
+    return lost.withColumn("reject_reason", F.when(topic.isNull(), nameless).otherwise("unknown_topic"))
+
+
+def read_unrouted(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{ENVELOPE}, reject_reason string").parquet(f"{root}/unrouted")
+
+
 def refine_bronze(spark: SparkSession, envelopes: DataFrame, root: str) -> DataFrame:
-    """Refine every topic below root and return the processed and rejected counts."""
-    counts = None
+    """Refine every topic below root and return the processed and rejected counts.
+
+    Every envelope has one outcome. Those of no known topic are kept apart with their reason and counted under it, so that
+    rows in = clean rows + repeated positions + quarantine + these.
+    """
+    unrouted(envelopes).write.mode("overwrite").parquet(f"{root}/unrouted")
+    lost = read_unrouted(spark, root).groupBy(F.col("reject_reason").alias("topic"))
+    counts = lost.agg(F.lit(0).cast("long").alias("processed"), F.count(F.lit(1)).alias("rejected"))
     for topic, rules in RULES.items():
         refine_topic(spark, envelopes.where(F.col("kafka_topic") == topic), rules, root)
-        counted = topic_counts(read_checked(spark, root, rules))
-        counts = counted if counts is None else counts.unionByName(counted)
+        counts = counts.unionByName(topic_counts(read_checked(spark, root, rules)))
     return counts

@@ -269,6 +269,7 @@ QUERIES = {
     "bounding_box": """SELECT min(latitude) AS south, max(latitude) AS north, min(longitude) AS west,
         max(longitude) AS east FROM latest""",
     "alert_counters": f"""SELECT (SELECT least(count(*), 10) FROM clean_gps WHERE speed > 70) AS overspeed,
+        (SELECT count(*) FROM clean_gps WHERE speed > 70) AS overspeed_total,
         (SELECT count(*) FROM latest WHERE {STATUS} = 'Stopped') AS stopped,
         (SELECT count(*) FROM latest WHERE {STATUS} = 'Idle') AS idle,
         (SELECT count(*) FROM fact_delivery WHERE scan_status = 'delayed') AS delayed""",
@@ -336,7 +337,9 @@ QUERIES = {
         GROUP BY topic, reason""",
     "refined_tables": f"""SELECT topic, CASE WHEN topic = '{GPS_TOPIC}' THEN (SELECT count(*) FROM clean_gps)
             ELSE count(*) FILTER (WHERE reason IS NULL) END AS silver_rows, count(reason) AS quarantine_rows
-        FROM outcomes GROUP BY topic""",
+        FROM outcomes GROUP BY topic
+        UNION ALL SELECT CASE n_nationkey % 3 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing_topic' ELSE 'unknown_topic' END,
+            0, count(*) FROM nation GROUP BY 1""",
     "bronze_ingest": f"""SELECT '{GPS_TOPIC}' AS kafka_topic, part AS partition, event_id AS offset,
         CASE WHEN event_type <> 'error' THEN concat('V', user_id) END AS vehicle_id,
         CASE WHEN event_type = 'error' THEN CAST(length(concat('{{"vehicle_id":"V', user_id, '","timestamp":"',

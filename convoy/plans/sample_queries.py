@@ -13,7 +13,7 @@ from convoy.functions.predicates import motion_status, overspeed, popup_status
 from convoy.operators import kpi, latest, lookup, ml, quality, reports, serving, silver
 from convoy.operators.lookup import attach_last_scan
 from convoy.plans.kpi_views import kpi_view, publish_kpis
-from convoy.plans.refine import read_quarantine, read_silver, refine_bronze
+from convoy.plans.refine import read_quarantine, read_silver, read_unrouted, refine_bronze
 from convoy.plans.warehouse import ORDER_COLUMNS, read_orders, read_scans, trips_from_gps
 from convoy.session import work_dir
 from convoy.sources import bronze
@@ -22,7 +22,7 @@ from convoy.sources.sample import SampleFleet
 from convoy.sources.tables import copy_tables, read_table, write_table
 from convoy.streaming.ingest import write_bronze
 from convoy.streaming.live import read_live, write_live
-from convoy.streaming.refine import append_parquet, stream_silver
+from convoy.streaming.refine import read_stream_silver, write_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,13 +117,15 @@ def _clean(messages: DataFrame, rules: silver.TopicRules) -> DataFrame:
 def _refined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze to Silver with all tables written, then read back."""
     root = work_dir(spark, "refined")
-    refine_bronze(spark, _all_envelopes(SampleFleet(spark, sf_dir)), root)
-    counts = None
+    fleet = SampleFleet(spark, sf_dir)
+    refine_bronze(spark, _all_envelopes(fleet).unionByName(bronze.envelope_from_lines(fleet.lost_lines)), root)
+    counts = read_unrouted(spark, root).groupBy(F.col("reject_reason").alias("topic"))
+    counts = counts.agg(F.lit(0).cast("long").alias("silver_rows"), F.count(F.lit(1)).alias("quarantine_rows"))
     for topic, rules in silver.RULES.items():
         good = read_silver(spark, root, topic).agg(F.count(F.lit(1)).alias("silver_rows"))
         bad = read_quarantine(spark, root, rules).agg(F.count(F.lit(1)).alias("quarantine_rows"))
         row = kpi.merge_rows(good, bad).select(F.lit(topic).alias("topic"), "silver_rows", "quarantine_rows")
-        counts = row if counts is None else counts.unionByName(row)
+        counts = counts.unionByName(row)
     return counts
 
 
@@ -137,12 +139,14 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages through the stream into clean positions, then read back."""
+    """Messages in small files of mixed times through the stream, a file at a time, into clean positions, then read back."""
     fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "streamed")
-    envelopes = bronze.envelope_from_messages(fleet.gps_messages(fleet.stream_events()))
-    good = _record(stream_silver(envelopes, silver.GPS_RULES)).drop("_partition")
-    append_parquet(good, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
-    return plain(spark.read.parquet(f"{root}/silver"))
+    messages = fleet.gps_messages()
+    messages.repartition(6, F.crc32(F.col("offset").cast("string"))).write.parquet(f"{root}/messages")
+    files = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/messages")
+    envelopes = bronze.envelope_from_messages(files)
+    write_silver(envelopes, silver.GPS_RULES, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
+    return plain(_record(read_stream_silver(spark, f"{root}/silver", silver.GPS_RULES)).drop("_partition"))
 
 
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,3 +36,28 @@ def finished(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [status.getPath().getName() for status in fs.listStatus(where)]
     return [name for name in names if exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; none if there is no such folder."""
+    fs, where = _at(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet."""
+    fs, where = _at(spark, path)
+    stream = fs.create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

@@ -220,6 +220,17 @@ class SampleFleet(Mapping[str, DataFrame]):
             (F.lit(0.08) * distance + F.lit(0.03) * speed + noise).alias("fuel_consumption"),
         )
 
+    @property
+    def lost_lines(self) -> DataFrame:
+        """Bronze lines of no known topic, one of three kinds for every nation: cut off, without a topic, of another topic."""
+        number = F.col("n_nationkey").cast("string")
+        kinds = (
+            F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit('{"kafka_topic":"gps-events","offset":'), number))
+            .when(F.col("n_nationkey") % 3 == 1, F.concat(F.lit('{"partition":0,"offset":'), number, F.lit(',"event":{"a":1}}')))
+            .otherwise(F.concat(F.lit('{"kafka_topic":"other","offset":'), number, F.lit(',"event":{"a":1}}')))
+        )
+        return self.source("nation").select(kinds.alias("value"))
+
     def gps_messages(self, events: DataFrame | None = None) -> DataFrame:
         """Events as messages of the position topic.
 

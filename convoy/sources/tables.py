@@ -37,7 +37,25 @@ def write_table(df: DataFrame, path: str, table: str) -> None:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}")
+    """A table of the newest committed version below root, or one that lies there by itself."""
+    commits = files.names(spark, f"{root}/_commits")
+    version = files.read_text(spark, f"{root}/_commits/{commits[-1]}") if commits else None
+    return spark.read.parquet(f"{root}/_versions/{version}/{table}" if version else f"{root}/{table}")
+
+
+def _commit(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version the one that is read, by one move of a small file, and drop all but it and the one before.
+
+    Commits are numbered, and a move never replaces a file, so of two loads that end together one fails.
+    """
+    done = files.names(spark, f"{root}/_commits")
+    number = int(done[-1]) + 1 if done else 1
+    files.write_text(spark, f"{root}/_versions/{version}/_commit", version)
+    files.move(spark, f"{root}/_versions/{version}/_commit", f"{root}/_commits/{number:010d}")
+    for name in done[:-1]:
+        old = files.read_text(spark, f"{root}/_commits/{name}")
+        files.drop(spark, f"{root}/_commits/{name}")
+        files.drop(spark, f"{root}/_versions/{old}")
 
 
 def _write_as_is(df: DataFrame, path: str, table: str) -> None:
@@ -74,9 +92,11 @@ def rebuild_tables(
 ) -> dict[str, int]:
     """Replace the tables below root. A missing or repeated business key stops the load before anything is replaced.
 
-    Keys are checked on the staged files, where only the key column is read.
+    All tables are written as a new version and checked; keys are checked on the staged files, where only the key column is
+    read. Readers see the old version until the new one is committed, so a load that fails anywhere changes nothing.
     """
-    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
+    staging = f"{root}/_versions/{version}"
     try:
         counts = _stage(tables, staging, write_table)
         _reconcile(spark, staging, counts)
@@ -85,10 +105,13 @@ def rebuild_tables(
                 wrong = bad_keys(read_table(spark, staging, table), key).limit(5).collect()
                 if wrong:
                     raise LoadError(f"{table}.{key} missing or repeated, e.g. {[row['key'] for row in wrong]}")
-        _promote(spark, staging, root, tables)
-        return counts
-    finally:
-        files.drop(spark, staging)
+        _commit(spark, root, version)
+    except BaseException:
+        commits = files.names(spark, f"{root}/_commits")
+        if not commits or files.read_text(spark, f"{root}/_commits/{commits[-1]}") != version:
+            files.drop(spark, staging)
+        raise
+    return counts
 
 
 def copy_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:

@@ -2,35 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from convoy.operators.silver import GPS_RULES, TopicRules, accepted, check_events, rejected
+from convoy.operators.silver import GPS_RULES, TopicRules, accepted, check_events, dedup_positions, rejected
+from convoy.sources import files
+from convoy.sources.bronze import ENVELOPE
 
-# How long after the newest event a copy of an earlier one is still recognised.
-DEDUP_DELAY = "10 minutes"
+KEYS = ["vehicle_id", "timestamp"]
 
 
-def stream_silver(envelopes: DataFrame, rules: TopicRules, delay: str = DEDUP_DELAY) -> DataFrame:
-    """Clean events. Positions are deduplicated within the delay, which bounds the kept state.
+def write_silver(envelopes: DataFrame, rules: TopicRules, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Clean events into ``path``, however late they come, with nothing kept in the stream's state.
 
-    A copy that comes later passes, and an event older than the delay is dropped; the batch path has neither limit.
+    Positions are compared with what the event days of their micro-batch hold: of one vehicle and instant only an event
+    with a lower offset than any stored one is added, and ``read_stream_silver`` shows the lowest. Every micro-batch owns a
+    folder, which a repeated attempt overwrites, so a restart adds nothing twice.
     """
-    good = accepted(check_events(envelopes, rules))
-    if rules.topic != GPS_RULES.topic:
-        return good
-    return good.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])
 
+    def store(events: DataFrame, batch: int) -> None:
+        spark = events.sparkSession
+        good = accepted(check_events(events, rules)).withColumn("day", F.to_date("timestamp"))
+        if rules.topic == GPS_RULES.topic:
+            good = dedup_positions(good).persist()
+            days = [row["day"] for row in good.select("day").distinct().collect()]
+            stored = _stored(spark, path, rules)
+            if stored is not None and days:
+                stored = stored.where(F.col("day").isin(days) & (F.col("batch") < batch))
+                lowest = stored.groupBy("day", *KEYS).agg(F.min(F.struct("_offset", "_partition")).alias("_lowest"))
+                newer = F.col("_lowest").isNull() | (F.struct("_offset", "_partition") < F.col("_lowest"))
+                good = good.join(lowest, ["day", *KEYS], "left").where(newer).drop("_lowest")
+        good.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch}")
+        good.unpersist()
 
-def stream_quarantine(envelopes: DataFrame, rules: TopicRules) -> DataFrame:
-    return rejected(check_events(envelopes, rules))
+    writer = envelopes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _stored(spark: SparkSession, path: str, rules: TopicRules) -> DataFrame | None:
+    if not files.exists(spark, path):
+        return None
+    columns = accepted(check_events(spark.createDataFrame([], ENVELOPE), rules)).schema
+    schema = T.StructType([*columns.fields, T.StructField("batch", T.LongType()), T.StructField("day", T.DateType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def with_counts(checked: DataFrame, name: str = "silver") -> DataFrame:
-    """Report processed and rejected events of every micro-batch to the query's listeners."""
-    bad = F.col("reject_reason").isNotNull()
-    return checked.observe(name, F.count_if(~bad).alias("processed"), F.count_if(bad).alias("rejected"))
+def read_stream_silver(spark: SparkSession, path: str, rules: TopicRules) -> DataFrame:
+    """What the stream has stored: every good event, and of positions one for each vehicle and instant."""
+    stored = _stored(spark, path, rules)
+    if stored is None:
+        return accepted(check_events(spark.createDataFrame([], ENVELOPE), rules))
+    stored = stored.drop("batch", "day")
+    return dedup_positions(stored) if rules.topic == GPS_RULES.topic else stored
+
+
+def stream_quarantine(envelopes: DataFrame, rules: TopicRules) -> DataFrame:
+    return rejected(check_events(envelopes, rules))
 
 
 def append_parquet(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

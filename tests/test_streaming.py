@@ -5,11 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from convoy.operators import silver
-from convoy.plans.refine import read_quarantine, read_silver, refine_bronze
+from convoy.plans.refine import read_quarantine, read_silver, read_unrouted, refine_bronze
 from convoy.sources import bronze
 from convoy.streaming.ingest import write_bronze
 from convoy.streaming.live import read_live, write_live
-from convoy.streaming.refine import append_parquet, stream_quarantine, stream_silver
+from convoy.streaming.refine import append_parquet, read_stream_silver, stream_quarantine, write_silver
 
 T0 = datetime(2026, 9, 30, 8)
 
@@ -48,17 +48,21 @@ def lines(tmp_path):
 
 def test_stream_equals_batch_also_after_a_restart(spark, tmp_path, lines):
     def run():
-        envelopes = bronze.envelope_from_lines(bronze.stream_lines(spark, str(lines)))
-        clean = stream_silver(envelopes, silver.GPS_RULES)
-        append_parquet(clean, str(tmp_path / "silver"), str(tmp_path / "cp")).awaitTermination()
-        return keys(spark.read.parquet(str(tmp_path / "silver")))
+        envelopes = bronze.envelope_from_lines(bronze.stream_lines(spark, str(lines), files_per_trigger=1))
+        write_silver(envelopes, silver.GPS_RULES, str(tmp_path / "silver"), str(tmp_path / "cp")).awaitTermination()
+        return keys(read_stream_silver(spark, str(tmp_path / "silver"), silver.GPS_RULES))
 
     assert run() == keys(batch_rows(spark, lines))
     assert run() == keys(batch_rows(spark, lines))
     put(lines, "b.txt", [gps_line(10, second=1), gps_line(11, second=5, extra={"deep": 1}), gps_line(12, "V2", second=5)])
     assert run() == keys(batch_rows(spark, lines))
     assert len(run()) == 4
-    kept = spark.read.parquet(str(tmp_path / "silver")).where("_offset = 11").select(F.to_json("event")).collect()[0][0]
+    put(lines, "c.txt", [gps_line(20, second=-9 * 86400), gps_line(0, second=5), gps_line(21, second=0)])  # days late, lower offset
+    assert run() == keys(batch_rows(spark, lines))
+    assert len(run()) == 5
+    put(lines, "d.txt", [gps_line(11, second=5, extra={"deep": 1}), gps_line(30, second=77, extra={"deep": 1})])
+    assert run() == keys(batch_rows(spark, lines))
+    kept = spark.read.parquet(str(tmp_path / "silver")).where("_offset = 30").select(F.to_json("event")).collect()[0][0]
     assert json.loads(kept)["extra"] == {"deep": 1}
 
 
@@ -94,8 +98,8 @@ def test_bronze_stream_feeds_silver(spark, tmp_path):
     spark.createDataFrame(rows, bronze.MESSAGE).write.parquet(str(tmp_path / "topics"))
     messages = spark.readStream.schema(bronze.MESSAGE).parquet(str(tmp_path / "topics"))
     write_bronze(messages, str(tmp_path / "bronze"), str(tmp_path / "cp1")).awaitTermination()
-    clean = stream_silver(bronze.stream_bronze(spark, str(tmp_path / "bronze"), "gps-events"), silver.GPS_RULES)
-    append_parquet(clean, str(tmp_path / "silver"), str(tmp_path / "cp2")).awaitTermination()
+    stored = bronze.stream_bronze(spark, str(tmp_path / "bronze"), "gps-events")
+    write_silver(stored, silver.GPS_RULES, str(tmp_path / "silver"), str(tmp_path / "cp2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 5
 
 
@@ -119,6 +123,7 @@ def test_live_positions_follow_the_newest_event(spark, tmp_path):
 def test_refined_tables(spark, tmp_path, lines):
     envelopes = bronze.envelope_from_lines(bronze.read_lines(spark, str(lines)))
     counts = {r.topic: (r.processed, r.rejected) for r in refine_bronze(spark, envelopes, str(tmp_path / "out")).collect()}
-    assert counts == {"gps-events": (3, 1)}  # the broken line names no topic
+    assert counts == {"gps-events": (3, 1), "malformed_json": (0, 1)}
+    assert [r.raw for r in read_unrouted(spark, str(tmp_path / "out")).collect()] == ["{broken"]
     assert read_silver(spark, str(tmp_path / "out"), "gps-events").count() == 2
     assert [r.reject_reason for r in read_quarantine(spark, str(tmp_path / "out"), silver.GPS_RULES).collect()] == ["bad_speed"]

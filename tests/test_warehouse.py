@@ -71,7 +71,31 @@ def test_rebuild_replaces_the_warehouse(spark, tmp_path):
     views = publish_kpis({t: read_table(spark, root, t) for t in TABLES})
     assert set(views) == set(VIEWS) and len(VIEWS) == 10
     assert spark.sql("SELECT km_per_liter FROM vw_fuel_efficiency").collect()[0][0] == 8.0
-    assert not [p for p in (tmp_path / "wh").iterdir() if p.name.startswith("_staging")]
+    build_warehouse(spark, raw, root)
+    assert len(list((tmp_path / "wh" / "_versions").iterdir())) == 2  # the newest and the one before
+
+
+@pytest.mark.parametrize("step", ["_stage", "_reconcile", "bad_keys", "_commit", "move", "write_text", "drop"])
+def test_a_rebuild_that_fails_leaves_all_old_or_all_new_tables(spark, tmp_path, monkeypatch, step):
+    from convoy.sources import files
+    from convoy.sources import tables as module
+
+    raw, root = write_files(tmp_path), str(tmp_path / "wh")
+    build_warehouse(spark, raw, root)
+    build_warehouse(spark, raw, root)
+    write_files(tmp_path, depots=FILES["depots.csv"] + "D2,South,Bonn,5\n", drivers=FILES["drivers.csv"] + "P2,Bo,D2,1,Day\n")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files if hasattr(files, step) else module, step, fail)
+        with pytest.raises(OSError, match="lost"):
+            build_warehouse(spark, raw, root)
+    seen = tuple(read_table(spark, root, t).count() for t in ("dim_depot", "dim_driver"))
+    assert seen == ((2, 2) if step == "drop" else (1, 1))
+    build_warehouse(spark, raw, root)
+    assert tuple(read_table(spark, root, t).count() for t in ("dim_depot", "dim_driver")) == (2, 2)
 
 
 @pytest.mark.parametrize("bad", ["V1,van,D1,3,m,60.5,x\nV1,bus,D1,3,m,60.5,x\n", ",van,D1,3,m,60.5,x\n"])
