@@ -22,12 +22,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import fresh
+from convoy.llm.common import cut, fresh
 
 #: Characters behind a match that can change it.
 AHEAD = 8
 #: Pre-tokens whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def vocabulary(docs: DataFrame, path: str) -> Broadcast:
@@ -104,7 +104,7 @@ def _long(texts: DataFrame, ranks: Broadcast, pattern: str, chunk: int, overlap:
     seams = chunks.mapInArrow(partial(_boundaries, pattern, step, overlap), "text_key binary, n int, head array<int>, tail array<int>")
     left = seams.select("text_key", "n", "tail")
     right = seams.select("text_key", (F.col("n") - 1).alias("n"), "head")
-    meet = left.join(right, keys).select(*keys, F.array_min(F.array_intersect("tail", "head")).alias("at"))
+    meet = cut(left.join(right, keys).select(*keys, F.array_min(F.array_intersect("tail", "head")).alias("at")))
     apart = meet.where("at IS NULL").groupBy("text_key").agg(F.min("n").alias("apart"))
     starts = meet.select("text_key", (F.col("n") + 1).alias("n"), F.col("at").alias("begin"))
     spans = (
@@ -173,10 +173,9 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "d
         token = {rank: text for text, rank in _ranks(ranks.value).items()}.__getitem__
         for lists in batches:
             lists = lists.fill_null([]) if lists.null_count else lists
-            offsets = lists.offsets.to_numpy()
-            parts = list(map(token, lists.values[offsets[0] : offsets[-1]].to_pylist()))
-            ends = (offsets - offsets[0]).tolist()
-            yield pa.array([b"".join(parts[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+            ids, ends = lists.values.to_numpy(), lists.offsets.to_pylist()
+            # a row at a time: as Python numbers, the ids of a batch would take ten times their room
+            yield pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
     return docs.withColumn(bytes_col, decoded(F.col(ids_col)))
 
