@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from convoy.llm.licenses import TEMPLATES
+
 
 DECONTAMINATION = r"""
 WITH doc AS (
@@ -53,5 +55,80 @@ FROM doc LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+LINE_DEDUP = r"""
+WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+win AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(l) - 1), lambda i: array_to_string(l[i:i + 2], chr(10)))) AS w,
+         unnest(range(1, len(l) - 1)) AS i
+  FROM doc WHERE len(l) >= 3
+),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM win WHERE regexp_matches(w, '\S')),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 3)) AS p FROM ranked WHERE n > 1),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+line AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM doc),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS kept FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM doc LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+WARC = r"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+newest AS (SELECT h, max(page_id) AS newest FROM page GROUP BY h),
+bits AS (
+  SELECT h, newest, array_to_string(list_transform(string_split(sha1(h), ''), lambda x: CASE x
+    WHEN '0' THEN '0000' WHEN '1' THEN '0001' WHEN '2' THEN '0010' WHEN '3' THEN '0011' WHEN '4' THEN '0100' WHEN '5' THEN '0101'
+    WHEN '6' THEN '0110' WHEN '7' THEN '0111' WHEN '8' THEN '1000' WHEN '9' THEN '1001' WHEN 'a' THEN '1010' WHEN 'b' THEN '1011'
+    WHEN 'c' THEN '1100' WHEN 'd' THEN '1101' WHEN 'e' THEN '1110' ELSE '1111' END), '') AS b
+  FROM newest
+),
+named AS (
+  SELECT h, newest, array_to_string(list_transform(range(1, 161, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(b, i, 1) AS INT) + 8 * CAST(substr(b, i + 1, 1) AS INT) + 4 * CAST(substr(b, i + 2, 1) AS INT)
+      + 2 * CAST(substr(b, i + 3, 1) AS INT) + CAST(substr(b, i + 4, 1) AS INT), 1)), '') AS mark
+  FROM bits
+)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, mark AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM page JOIN named USING (h)
+"""
+
+LICENSES = r"""
+WITH template(name, t) AS (VALUES @TEMPLATES@),
+part AS (
+  SELECT doc_id, 0 AS u, text AS t FROM documents
+  UNION ALL SELECT doc_id, unnest(range(1, len(l) + 1)), unnest(l) FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+),
+part_word AS (SELECT doc_id, u, list_transform(regexp_extract_all(t, '[A-Za-z0-9]+'), lambda x: lower(x)) AS w FROM part),
+template_word AS (SELECT name, list_transform(regexp_extract_all(t, '[A-Za-z0-9]+'), lambda x: lower(x)) AS w FROM template),
+part_gram AS (
+  SELECT doc_id, u, size, g, count(*) AS n
+  FROM (SELECT doc_id, u, len(w) - 1 AS size, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+        FROM part_word WHERE len(w) > 1) GROUP BY ALL
+),
+template_gram AS (
+  SELECT name, size, g, count(*) AS n
+  FROM (SELECT name, len(w) - 1 AS size, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+        FROM template_word WHERE len(w) > 1) GROUP BY ALL
+),
+dice AS (
+  SELECT doc_id, u, name, CAST(2 * sum(least(p.n, q.n)) AS DOUBLE) / (p.size + q.size) AS d
+  FROM part_gram p JOIN template_gram q USING (g) GROUP BY doc_id, u, name, p.size, q.size
+),
+found AS (SELECT doc_id, name, max(d) AS d FROM dice WHERE d >= 0.8 GROUP BY doc_id, name),
+best AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d DESC, name) = 1)
+SELECT doc_id, name AS license, d AS dice, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses FROM documents LEFT JOIN best USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRING_DEDUP}
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    templates = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in TEMPLATES.items())
+    return {
+        "op2_licenses": LICENSES.replace("@TEMPLATES@", templates),
+        "op3_warc": WARC,
+        "op6_line_dedup": LINE_DEDUP,
+        "op8_decontamination": DECONTAMINATION,
+        "op10_substring_dedup": SUBSTRING_DEDUP,
+    }
