@@ -208,16 +208,17 @@ def depot_performance(
         joined = joined.join(frame, "vehicle_id", "left")
     by_depot = joined.groupBy("depot_id").agg(
         F.count_distinct("vehicle_id").alias("vehicles"),
-        F.sum("_speed").alias("_speed"),
+        exact_sum("_speed").alias("_speed"),
         F.sum("_speeds").alias("_speeds"),
-        F.sum("_amount").alias("_amount"),
-        F.sum("_hours").alias("_hours"),
+        exact_sum("_amount").alias("_amount"),
+        exact_sum("_hours").alias("_hours"),
     )
+    # an order id occurs once, which every load checks, so the orders of a depot are those of its vehicles
+    orders = deliveries.groupBy("vehicle_id").agg(F.count_distinct("order_id").alias("deliveries"))
     made = (
-        deliveries.select("vehicle_id", "order_id")
-        .join(fleet.where(F.col("depot_id").isNotNull()), "vehicle_id")
+        orders.join(fleet.where(F.col("depot_id").isNotNull()), "vehicle_id")
         .groupBy("depot_id")
-        .agg(F.count_distinct("order_id").alias("deliveries"))
+        .agg(F.sum("deliveries").alias("deliveries"))
     )
 
     def or_zero(value: Column) -> Column:

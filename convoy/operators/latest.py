@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from convoy.functions.predicates import is_blank
 
-# Ties of one key are spread over this many groups before the global maximum is known.
-TIE_SPREAD = 64
 TRAIL_POINTS = 15
 
 
@@ -33,14 +31,14 @@ def latest_ties(df: DataFrame, key: str = "vehicle_id", at: str = "timestamp") -
     """All rows that carry the newest time of their key; rows without key or time never match.
 
     The result may hold any number of copies of one row, so no task may own a whole key. Each input partition first
-    drops what is not newest in its own spread group, then the survivors join the newest time per key. The salt is the
-    input partition number, which a rerun task computes again unchanged.
+    drops what is not newest in it, then the survivors join the newest time per key. The salt is the number of the input
+    partition, which a rerun task computes again unchanged, so there are as many groups of a key as partitions hold it.
     """
     known = df.where(F.col(key).isNotNull() & F.col(at).isNotNull())
     newest = known.groupBy(key).agg(F.max(at).alias(at))
     spread = Window.partitionBy(key, "_spread").orderBy(F.col(at).desc())
     survivors = (
-        known.withColumn("_spread", F.spark_partition_id() % TIE_SPREAD)
+        known.withColumn("_spread", F.spark_partition_id())
         .withColumn("_rank", F.rank().over(spread))
         .where(F.col("_rank") == 1)
         .drop("_rank", "_spread")

@@ -51,10 +51,12 @@ def train(
 ) -> PipelineModel:
     """Fit the forest. Give ``partitions`` and a row key where the rows lie in fewer partitions than there are cores.
 
+    Rows that lie in more partitions than that keep them, so large partitions are never made of small ones.
+
     The node statistics get 1 GB per pass, so a level of the trees takes few passes over the rows, and the node each
     row has reached is kept between passes.
     """
-    if partitions:
+    if partitions and rows._jdf.rdd().getNumPartitions() < partitions:
         rows = rows.repartition(partitions, *(spread_by or FEATURES))
     forest = RandomForestRegressor(
         featuresCol="features",

@@ -14,6 +14,7 @@ from convoy.functions.temporal import iso_timestamp
 from convoy.operators.latest import first_rows
 from convoy.schemas import DELIVERY_TOPIC, GPS_TOPIC, SILVER_GPS, VEHICLE_TOPIC
 
+TRACK = ("vehicle_id", "timestamp")
 LINEAGE = ("_kafka_topic", "_partition", "_offset")
 
 # Fixed values.
@@ -148,5 +149,12 @@ def in_track_order(positions: DataFrame) -> DataFrame:
 
     The range covers both columns, so a vehicle with many positions spans several tasks.
     """
-    keys = ["vehicle_id", "timestamp"]
-    return positions.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return positions.repartitionByRange(*TRACK).sortWithinPartitions(*TRACK)
+
+
+def clean_tracks(positions: DataFrame) -> DataFrame:
+    """One event per vehicle and instant, ordered over all output files, after a single shuffle.
+
+    All events of one instant fall into one range, which is all that removing copies needs.
+    """
+    return dedup_positions(positions.repartitionByRange(*TRACK)).sortWithinPartitions(*TRACK)

@@ -12,8 +12,7 @@ from convoy.operators.silver import (
     TopicRules,
     accepted,
     check_events,
-    dedup_positions,
-    in_track_order,
+    clean_tracks,
     rejected,
     topic_counts,
 )
@@ -30,7 +29,7 @@ def refine_topic(spark: SparkSession, envelopes: DataFrame, rules: TopicRules, r
     checked.write.mode("overwrite").partitionBy("accepted").parquet(f"{root}/checked/{rules.topic}")
     good = accepted(read_checked(spark, root, rules).where("accepted")).drop("accepted")
     if rules.topic == GPS_RULES.topic:
-        good = in_track_order(dedup_positions(good))
+        good = clean_tracks(good)
     good.write.mode("overwrite").parquet(f"{root}/silver/{rules.topic}")
 
 

@@ -162,8 +162,23 @@ def test_json_is_parsed_once(spark, tmp_path):
 def test_track_order_splits_one_vehicle(spark):
     rows = spark.range(10_000).selectExpr("'V1' AS vehicle_id", "timestamp_seconds(id * 7919 % 10007) AS timestamp")
     ordered = silver.in_track_order(rows)
-    sizes = ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min("timestamp"), F.max("timestamp"))
-    parts = sorted(tuple(r)[1:] for r in sizes.orderBy("min(timestamp)").collect())
-    assert len(parts) > 1 or sum(p[0] for p in parts) == 10_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or Spark would join parts as small as these
+    try:
+        sizes = ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min("timestamp"), F.max("timestamp"))
+        parts = sorted(tuple(r)[1:] for r in sizes.orderBy("min(timestamp)").collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 1 and sum(p[0] for p in parts) == 10_000
     times = [r.timestamp for r in ordered.collect()]
     assert times == sorted(times)
+
+
+def test_clean_tracks_take_one_shuffle(spark):
+    rows = spark.range(10_000).selectExpr(
+        "concat('V', id % 3) AS vehicle_id", "timestamp_seconds(id * 7919 % 4001) AS timestamp", "id AS _offset", "0 AS _partition"
+    )
+    clean = silver.clean_tracks(rows)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    got = [(r.vehicle_id, r.timestamp, r._offset) for r in clean.collect()]
+    assert got == sorted((r.vehicle_id, r.timestamp, r._offset) for r in silver.dedup_positions(rows).collect())
