@@ -62,9 +62,13 @@ LOADS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text. Quotes are doubled inside quoted values; a row that is too short ends in NULLs."""
-    return spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """All columns as text. Quotes are doubled inside quoted values; a row that is too short ends in NULLs.
+
+    ``line_breaks`` allows them inside quoted values, at the price of a task for every file, however large.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+    return reader.option("multiLine", line_breaks).csv(path)
 
 
 def column_of(df: DataFrame, name: str) -> Column:
@@ -73,13 +77,16 @@ def column_of(df: DataFrame, name: str) -> Column:
 
 
 def typed(value: Column, kind: str) -> Column:
-    """Text as the given type; empty or unreadable text is NULL."""
+    """Text as the given type; empty or unreadable text is NULL. A number with a fraction is no whole number."""
     if kind == "string":
         return value
     if kind == "timestamp":
         return iso_timestamp(value)
-    number = F.nullif(F.trim(value), F.lit("")).try_cast("double")
-    return number if kind == "double" else number.try_cast(kind)
+    text = F.nullif(F.trim(value), F.lit(""))
+    if kind == "double":
+        return text.try_cast(kind)
+    wide = text.try_cast("decimal(38,10)")  # for 12.0 and 1e3
+    return F.coalesce(text.try_cast(kind), F.when(wide == F.floor(wide), wide.try_cast(kind)))
 
 
 def with_key(df: DataFrame, key: str) -> DataFrame:
@@ -87,9 +94,24 @@ def with_key(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(key), "*")
 
 
-def load_csv(spark: SparkSession, raw_dir: str, load: CsvLoad) -> DataFrame:
-    raw = read_csv(spark, f"{raw_dir}/{load.file}")
+def _columns(spark: SparkSession, raw_dir: str, load: CsvLoad) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The raw file, and for every column of the table its text and its value. Dimensions may hold line breaks."""
+    raw = read_csv(spark, f"{raw_dir}/{load.file}", line_breaks=load.table.startswith("dim_"))
     kinds = dict((f.name, f.dataType.simpleString()) for f in table_schema(load.table))
     names = dict(load.renamed)
-    rows = raw.select(*[typed(column_of(raw, names.get(c, c)), kinds[c]).alias(c) for c in load.columns])
+    texts = {c: column_of(raw, names.get(c, c)) for c in load.columns}
+    return raw, texts, {c: typed(text, kinds[c]) for c, text in texts.items()}
+
+
+def load_csv(spark: SparkSession, raw_dir: str, load: CsvLoad) -> DataFrame:
+    raw, _, values = _columns(spark, raw_dir, load)
+    rows = raw.select(*[value.alias(c) for c, value in values.items()])
     return with_key(rows, load.key) if load.key else rows
+
+
+def unreadable(spark: SparkSession, raw_dir: str, load: CsvLoad) -> DataFrame:
+    """For every column of a load, how many texts that are not empty were read as NULL."""
+    raw, texts, values = _columns(spark, raw_dir, load)
+    lost = [F.count_if((F.trim(texts[c]) != "") & values[c].isNull()).alias(c) for c in texts]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("values")) for c in texts]))
+    return raw.agg(*lost).select(F.lit(load.table).alias("table"), pairs.alias("p")).select("table", "p.column", "p.values")

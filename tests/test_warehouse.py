@@ -50,6 +50,20 @@ def test_raw_files_are_typed_by_header_name(spark, tmp_path):
     assert [(r.liters, r.amount, r.odometer_km) for r in fuel] == [(10.0, 15.5, 100.0), (None, None, 180.0), (None, None, None)]
 
 
+def test_numbers_line_breaks_and_what_can_not_be_read(spark, tmp_path):
+    from convoy.sources.csv import LOADS, load_csv, typed, unreadable
+
+    texts = ["9007199254740993", "12.7", "12.0", "1e3", " 7 ", "", "x", None, "9223372036854775808"]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in rows.select(typed(F.col("x"), "bigint")).collect()]
+    assert got == [9007199254740993, None, 12, 1000, 7, None, None, None, None]
+    raw = write_files(tmp_path, depots='depot_id,depot_name,city,capacity\nD1,"North\nGate",Berlin,ten\nD2,South,Bonn,\n')
+    load = next(load for load in LOADS if load.table == "dim_depot")
+    depots = {r.depot_id: r for r in load_csv(spark, raw, load).collect()}
+    assert set(depots) == {"D1", "D2"} and depots["D1"].depot_name == "North\nGate"
+    assert {r["column"]: r["values"] for r in unreadable(spark, raw, load).collect()}["capacity"] == 1
+
+
 def test_orders_get_their_last_scan_and_dates(spark, tmp_path):
     tables = raw_tables(spark, write_files(tmp_path))
     rows = {r.order_id: r for r in tables["fact_delivery"].collect()}
