@@ -21,18 +21,24 @@ from pyspark.sql import functions as F
 #: Lengths of n-grams, longest first.
 LENGTHS = (5, 4, 3, 2, 1)
 #: Counts a worker holds before it passes them on, and words whose scores it remembers.
-HELD, REMEMBERED = 200_000, 300_000
+HELD, REMEMBERED = 300_000, 200_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+def _none() -> np.ndarray:
+    return np.zeros((0, 0))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Logarithms of frequencies by language, for words and for n-grams."""
+    """Words and n-grams, and the logarithms of their frequencies: a row for each, a column for every language."""
 
     languages: tuple[str, ...] = ()
-    words: dict[str, np.ndarray] = field(default_factory=dict)
-    grams: dict[str, np.ndarray] = field(default_factory=dict)
+    words: tuple[str, ...] = ()
+    word_logs: np.ndarray = field(default_factory=_none)
+    grams: tuple[str, ...] = ()
+    gram_logs: np.ndarray = field(default_factory=_none)
 
 
 def _words(text: str | None) -> list[str]:
@@ -80,18 +86,16 @@ def learn(
         rows = tops.collect()
     finally:
         table.unpersist()
-    parts: dict[int, dict[str, np.ndarray]] = {size: {} for size in (0, *LENGTHS)}
-    for row in rows:
-        parts[row["size"]][row["token"]] = np.array([row[f"n{i}"] for i in range(len(languages))], float)
-    logs = {size: _logarithms(part) for size, part in parts.items()}
-    return Model(languages, logs.pop(0), {token: v for part in logs.values() for token, v in part.items()})
+    counted = {size: [r for r in rows if r["size"] == size] for size in (0, *LENGTHS)}
+    logs = {size: _logarithms(part, len(languages)) for size, part in counted.items()}
+    grams = tuple(r["token"] for size in LENGTHS for r in counted[size])
+    words = tuple(r["token"] for r in counted[0])
+    return Model(languages, words, logs[0], grams, np.concatenate([logs[size] for size in LENGTHS]))
 
 
-def _logarithms(counts: dict[str, np.ndarray], prior: float = 0.5) -> dict[str, np.ndarray]:
-    if not counts:
-        return {}
-    rows = np.array(list(counts.values())) + prior
-    return dict(zip(counts, np.log(rows / rows.sum(axis=0))))
+def _logarithms(rows, languages: int, prior: float = 0.5) -> np.ndarray:
+    counts = np.array([[r[f"n{i}"] for i in range(languages)] for r in rows], float).reshape(-1, languages) + prior
+    return np.log(counts / counts.sum(axis=0))
 
 
 def _counts(batches):
@@ -124,31 +128,36 @@ def _rows(held: dict[str, Counter]):
 
 
 class _Rows(dict):
-    """The row of a table that holds a word's logarithms; filled when a word is first seen."""
+    """The row of a table that holds a word's logarithms; those of unknown words are added when first seen."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.table = np.zeros((1 << 14, len(model.languages)))
+        self.model, self.known = model, len(model.words)
+        self.grams = dict(zip(model.grams, model.gram_logs.tolist()))
+        self.table = np.zeros((self.known + REMEMBERED, len(model.languages)))
+        if self.known:
+            self.table[: self.known] = model.word_logs
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.update(zip(self.model.words, range(self.known)))
+
+    def full(self, more: int) -> bool:
+        return len(self) + more > len(self.table)
 
     def __missing__(self, word: str) -> int:
         row = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[row] = backoff(self.model, word)
+        self.table[row] = self.backoff(word)
         self[word] = row
         return row
 
-
-def backoff(model: Model, word: str) -> np.ndarray:
-    """The logarithms of a word, or of its longest known n-grams; zeros if no letter of it is known."""
-    found = model.words.get(word)
-    if found is not None:
-        return found
-    for n in LENGTHS:
-        parts = [model.grams[g] for g in _grams(word, n) if g in model.grams]
-        if parts:
-            return np.mean(parts, axis=0)
-    return np.zeros(len(model.languages))
+    def backoff(self, word: str) -> list[float]:
+        """The mean over the longest known n-grams of an unknown word; zeros if no letter of it is known."""
+        for n in LENGTHS:
+            parts = [self.grams[g] for g in _grams(word, n) if g in self.grams]
+            if parts:
+                return [sum(part) / len(parts) for part in zip(*parts)]
+        return [0.0] * len(self.model.languages)
 
 
 def language(text: Column, model: Model) -> Column:
@@ -177,9 +186,12 @@ def _predict(rows: _Rows, words: list[str]) -> tuple[str, float]:
     languages = rows.model.languages
     if not words or not languages:
         return UNKNOWN, 0.0
-    if len(rows) > REMEMBERED:
-        rows.clear()
-    places = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-    sums = rows.table[places].sum(axis=0) / math.sqrt(len(words))
+    sums = np.zeros(len(languages))
+    for start in range(0, len(words), REMEMBERED // 2):
+        part = words[start : start + REMEMBERED // 2]
+        if rows.full(len(part)):
+            rows.forget()
+        sums += rows.table[np.fromiter(map(rows.__getitem__, part), np.int64, len(part))].sum(axis=0)
+    sums /= math.sqrt(len(words))
     best = int(np.argmax(sums))
     return languages[best], float(1 / np.exp(sums - sums[best]).sum())
