@@ -2,14 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry_points
+from convoy.plans import sample_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
     "csv_vehicles", "csv_deliveries", "warehouse_copy", "warehouse_layout", "refined_tables", "bronze_ingest", "silver_stream", "live_stream", "model_error",
     "model_scores",
 }
-QUERIES = {n: q for n, q in entry_points.queries().items() if n not in WRITES}
+QUERIES = {n: q for n, q in sample_queries.queries().items() if n not in WRITES}
 
 
 @pytest.fixture(scope="module")

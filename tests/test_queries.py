@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from convoy.plans import sample_oracle, sample_queries
 from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = sample_queries.queries()
+ORACLE = sample_oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +26,10 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLE) == {"model_split", "model_error", "model_scores"}
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+
+
 def test_entry_has_a_row_per_vehicle(spark):
     assert entry_points.entry(spark).count() == spark.read.parquet(f"{SF_DIR}/customer.parquet").count()
