@@ -33,8 +33,8 @@ class Settings:
     At least the share ``candidates`` of a block is verified, and ``per_neighbour`` vectors for each neighbour asked for.
     """
 
-    projections: int = 96
-    threshold: float = 0.5
+    projections: int = 64
+    threshold: float = 0.55
     first: float = 0.3
     widen: float = 1.15
     candidates: float = 0.3
@@ -114,6 +114,9 @@ def _search_block(dim, longest, k, settings, left: pa.Table, right: pa.Table) ->
     for query_id, vector, values in zip(query_ids, q, index.project(q * (longest / np.linalg.norm(q, axis=1))[:, None])):
         found = index.candidates(values, k + 1)
         found = found[ids[found] != query_id]
+        rough = v[found] @ vector
+        if len(found) > k:
+            found = found[rough >= np.partition(rough, -k)[-k] - 1e-9 * max(1.0, float(np.abs(rough).max()))]
         # summed row by row, so that equal vectors get equal scores
         scores = (v[found] * vector).sum(axis=1)
         best = np.lexsort((ids[found], -scores))[:k]
@@ -135,8 +138,9 @@ class Index:
         order = np.argsort(values, axis=0, kind="stable")
         self.values = np.take_along_axis(values, order, axis=0).T.copy()
         # where each vector stands in each sorted array
-        self.places = np.empty(values.T.shape, np.int32)
-        np.put_along_axis(self.places, order.T, np.arange(self.n, dtype=np.int32)[None, :], axis=1)
+        kind = np.uint16 if self.n < 1 << 16 else np.uint32
+        self.places = np.empty(values.T.shape, kind)
+        np.put_along_axis(self.places, order.T, np.arange(self.n, dtype=kind)[None, :], axis=1)
         # half a window that holds the share ``first`` of the block in the middle of an array, on average
         low, high = np.quantile(values, [0.5 - settings.first / 2, 0.5 + settings.first / 2], axis=0)
         self.half = max(float(np.mean(high - low)) / 2, 1e-9 * longest)
@@ -150,13 +154,14 @@ class Index:
         s = self.settings
         enough = min(self.n, max(k * s.per_neighbour, math.ceil(s.candidates * self.n)))
         least = max(1, math.ceil(s.threshold * s.projections))
-        half = self.half
+        half, tally = self.half, np.uint8 if s.projections < 256 else np.int32
         while True:
-            low = np.array([a.searchsorted(x - half) for a, x in zip(self.values, values)], np.int32)
-            high = np.array([a.searchsorted(x + half, "right") for a, x in zip(self.values, values)], np.int32)
+            low = np.array([a.searchsorted(x - half) for a, x in zip(self.values, values)])
+            width = np.array([a.searchsorted(x + half, "right") for a, x in zip(self.values, values)]) - low
             # a place left of the window wraps around to a large number
-            inside = (self.places - low[:, None]).view(np.uint32) < (high - low).view(np.uint32)[:, None]
-            found = np.flatnonzero(inside.sum(axis=0, dtype=np.int16) >= least)
-            if len(found) >= enough or ((high - low) == self.n).all():
+            inside = (self.places - low.astype(self.places.dtype)[:, None]) < width.astype(self.places.dtype)[:, None]
+            found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=tally) >= least)
+            if len(found) >= enough or (width == self.n).all():
+                self.half = half / s.widen  # most queries need windows alike, so the next one starts near them
                 return found
             half *= s.widen
