@@ -1,25 +1,33 @@
-"""License scan: parts of a text against license templates, by the Dice coefficient over word bigrams.
+"""License scan: runs of words of a text against license templates, by the Dice coefficient over word bigrams.
 
-The parts of a text are its lines and the text as a whole. Text is lower-cased and cut into runs of ASCII letters and
-digits. Two bigram bags of sizes a and b can't reach the threshold t unless a/b lies between t/(2-t) and (2-t)/t, so only
-templates of such sizes are compared.
+Every run of words is a window, within a line or over several, up to the whole text. Text is lower-cased and cut into runs
+of ASCII letters and digits. Two bigram bags of sizes a and b can't reach the threshold t unless a/b lies between t/(2-t)
+and (2-t)/t, so a window of a template of size b holds at least b t/(2-t) bigrams of it within b (2-t)/t. The best window
+starts and ends with a bigram of the template; only starts where bigrams lie that dense are looked at.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from functools import cache
+from importlib import resources
+from itertools import islice, repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[A-Za-z0-9]+")
+#: The same words in UTF-8 of which ASCII letters are lower-cased.
+LOWER_WORD = re.compile(rb"[a-z0-9]+")
 LEAST = 0.8
 
-# Notices by which texts name their license, and the short licenses themselves.
+# Notices by which texts name their license, and the grants of two short licenses.
 TEMPLATES = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -49,6 +57,13 @@ TEMPLATES = {
 }
 
 
+@cache
+def templates_and_texts() -> dict[str, str]:
+    """``TEMPLATES``, the full license texts ("-full") and the headers that go into source files ("-header")."""
+    files = (f for f in resources.files("convoy.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt"))
+    return TEMPLATES | {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in sorted(files, key=lambda f: f.name)}
+
+
 def bigrams(words: list[str]) -> list[tuple[str, str]]:
     """Neighbouring words in lower case."""
     words = [w.lower() for w in words]
@@ -64,9 +79,20 @@ class Scanner:
         self.bags = sorted(bags, key=lambda b: b[:2])
         self.sizes = [b[0] for b in self.bags]
         self.ratio = least / (2 - least)
+        self.grams: dict[tuple[bytes, bytes], int] = {}
+        for _, _, bag in self.bags:
+            for one, two in bag:
+                self.grams.setdefault((one.encode(), two.encode()), len(self.grams))
+        # (fewest bigrams a window shares, most it holds, size, name, how often each bigram occurs), the smallest first
+        self.wanted = []
+        for size, name, bag in self.bags:
+            often = np.zeros(len(self.grams), np.int64)
+            often[[self.grams[one.encode(), two.encode()] for one, two in bag]] = list(bag.values())
+            fewest, most = math.ceil(size * self.ratio * (1 - 1e-12)), math.floor(size / self.ratio * (1 + 1e-12))
+            self.wanted.append((fewest, most, size, name, often))
 
     def part(self, words: list[str], best: dict[str, float]) -> None:
-        """Compare one part with the templates of a size it can match."""
+        """Compare one part as a whole with the templates of a size it can match; no window of a text is worse than this."""
         size = len(words) - 1
         if size < 1:
             return
@@ -83,22 +109,55 @@ class Scanner:
 
     def scan(self, text: str | None) -> list[tuple[str, float]]:
         """(name, dice) of every template found, the best first, then by name."""
-        best: dict[str, float] = {}
-        if text and self.bags:
-            rows = [WORD.findall(row) for row in text.split("\n")]
-            for row in rows:
-                self.part(row, best)
-            if len(rows) > 1 and sum(map(len, rows)) <= self.sizes[-1] / self.ratio + 2:
-                self.part([w for row in rows for w in row], best)
+        words = LOWER_WORD.findall(text.encode().lower()) if text else []
+        if len(words) < 2:
+            return []
+        pairs = zip(words, islice(words, 1, None))
+        grams = np.fromiter(map(self.grams.get, pairs, repeat(-1)), np.int64, len(words) - 1)
+        places = np.flatnonzero(grams >= 0)
+        grams, best = grams[places], {}
+        for fewest, most, size, name, often in self.wanted:
+            if len(places) < fewest:
+                break
+            times = often[grams]
+            held = np.flatnonzero(times)
+            if len(held) >= fewest:
+                dice = self.window(places[held], grams[held], times[held], fewest, most, size)
+                if dice >= self.least:
+                    best[name] = dice
         return sorted(best.items(), key=lambda b: (-b[1], b[0]))
 
-
-def licenses(text: Column, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> Column:
+    @staticmethod
+    def window(places: np.ndarray, grams: np.ndarray, times: np.ndarray, fewest: int, most: int, size: int) -> float:
+        """The largest Dice of any window with a template, whose bigrams lie at ``places`` and occur ``times`` in it."""
+        starts = np.flatnonzero(places[fewest - 1 :] - places[: len(places) - fewest + 1] < most)
+        if not len(starts):
+            return 0.0
+        # an occurrence counts in windows that start after the one that lies ``times`` of the same bigram before it
+        order = np.argsort(grams, kind="stable")
+        grouped = grams[order]
+        earlier = np.arange(len(order)) - times[order]
+        spent = np.empty(len(order), np.int64)
+        spent[order] = np.where(earlier >= np.searchsorted(grouped, grouped), order[earlier], -1)
+        stops = np.searchsorted(places, places[starts] + most)
+        reach = np.minimum(stops - starts, size)
+        reach = 2 * reach / (reach + size)
+        best = 0.0
+        for start, stop, bound in zip(starts.tolist(), stops.tolist(), reach.tolist()):
+            if bound > best:
+                shared = np.cumsum(spent[start:stop] < start)
+                best = max(best, float((2 * shared / (places[start:stop] - places[start] + 1 + size)).max()))
+        return best
+
+
+def licenses(text: Column, templates: Mapping[str, str] | None = None, least: float = LEAST) -> Column:
     """An array of struct (license string, dice double) for every text: the templates found in it, best first.
 
-    A template counts with its best part and only from ``least`` on. Null and empty texts, and templates of under two words,
-    are never found.
+    A template counts with its best window and only from ``least`` on, also where another one matches the same place better.
+    Null and empty texts, and templates of under two words, are never found. Without ``templates`` they are those of
+    ``templates_and_texts``.
     """
+    templates = templates_and_texts() if templates is None else templates
 
     @F.arrow_udf("array<struct<license: string, dice: double>>")
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

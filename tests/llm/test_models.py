@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,43 @@ def test_size_bounds_lose_nothing():
             other = Counter(licenses.bigrams(text.split()))
             dice = 2 * (bag & other).total() / (bag.total() + other.total())
             assert best.get(name, 0) == (dice if dice >= 0.5 else 0)
+
+
+def test_wrapped_and_inline_notices(spark):
+    """Notices inside a line and texts wrapped over lines are found wherever they stand."""
+    every = licenses.templates_and_texts()
+    around = [prose(i, 90).replace(". ", ".\n") for i in range(2)]
+    wrapped = textwrap.fill(licenses.TEMPLATES["MIT-text"], 78)
+    texts = ["This project is licensed under the MIT License.", "Released under the MIT License. See LICENSE for details.",
+             f"{around[0]}\n\n{wrapped}\n\n{around[1]}", "MIT License\n\nCopyright (c) 2026 A. Writer\n\n" + every["MIT-full"],
+             *(f"{around[0]}\n{t}\n{around[1]}" for n, t in sorted(every.items()) if n not in licenses.TEMPLATES)]
+    rows = docs(spark, list(enumerate(texts))).withColumn("found", licenses.licenses(F.col("text"))).collect()
+    found = {r.doc_id: [(x.license, round(x.dice, 3)) for x in r.found] for r in rows}
+    assert found[0] == [("MIT", 0.857)]
+    assert found[1] == [("MIT", 1.0)]
+    assert found[2] == [("MIT-text", 1.0)]
+    assert ("MIT-full", 1.0) in found[3]
+    for i, name in enumerate(sorted(set(every) - set(licenses.TEMPLATES)), 4):
+        assert (name, 1.0) in found[i]
+
+
+def test_windows_against_all_runs_of_words():
+    """The best window is the best of all runs of words, also with repeated bigrams."""
+    from collections import Counter
+
+    draw = random.Random(7)
+    some = lambda n: [draw.choice("abcd") for _ in range(n)]
+    names = {f"t{i}": " ".join(some(3 + i)) for i in range(12)}
+    scanner = licenses.Scanner(names, 0.7)
+    for _ in range(60):
+        words = some(draw.randrange(0, 30))
+        want = {}
+        for a in range(len(words)):
+            for b in range(a + 2, len(words) + 1):
+                bag = Counter(licenses.bigrams(words[a:b]))
+                for name, text in names.items():
+                    other = Counter(licenses.bigrams(text.split()))
+                    dice = 2 * (bag & other).total() / (bag.total() + other.total())
+                    if dice >= 0.7:
+                        want[name] = max(want.get(name, 0), dice)
+        assert scanner.scan(draw.choice(" \n").join(words)) == sorted(want.items(), key=lambda b: (-b[1], b[0]))
