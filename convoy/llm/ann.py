@@ -5,6 +5,10 @@ Each hash is one projection, and its index is the sorted array of all projected
 value in every array; a vector that lies in enough windows is a candidate. While there are too few candidates the windows
 widen by a constant factor, over the same arrays. Candidates are verified with the original vectors in double precision.
 
+The nearest candidates then tell how far a vector may be that still belongs to the result. Projections are normal, so the
+chance that such a vector lies in too few windows follows from that distance alone, whatever the data; windows widen to
+where it is small enough. Vectors that hashing can't tell apart are thus all verified, at the cost of a full search.
+
 Vectors and queries are dealt to blocks of bounded size, and each pair of blocks is a task, so that the search is one pass
 over the queries and the index is never in one place.
 """
@@ -14,6 +18,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import partial
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,8 @@ BLOCK = 8192
 class Settings:
     """How the index searches; the defaults are meant for hundreds of thousands of vectors of some hundred components.
 
-    At least the share ``candidates`` of a block is verified, and ``per_neighbour`` vectors for each neighbour asked for.
+    At least the share ``candidates`` of a block is verified, and ``per_neighbour`` vectors for each neighbour asked for, and
+    then as many as it takes for a neighbour to be missed with a chance of ``miss`` at most.
     """
 
     projections: int = 64
@@ -40,6 +46,7 @@ class Settings:
     candidates: float = 0.3
     per_neighbour: int = 32
     seed: int = 42
+    miss: float = 0.01
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -67,12 +74,12 @@ def search(
     """
     index = usable(vectors, id_col, vector_col).distinct()
     asked = usable(queries, id_col, vector_col).distinct()
-    lengths = index.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(_square("v")).alias("m")).collect()
+    lengths = index.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
     out = "query_id long, id long, score double"
     if not lengths:
         return _ranked(index.sparkSession.createDataFrame([], out), k)
     common = max(lengths, key=lambda r: (r["n"], -r["d"]))
-    dim, longest = common["d"], math.sqrt(common["m"])
+    dim = common["d"]
     index, asked = index.where(F.size("v") == dim), asked.where(F.size("v") == dim)
     n_blocks, q_blocks = math.ceil(common["n"] / block), max(1, math.ceil(asked.count() / block))
     spread = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
@@ -80,14 +87,10 @@ def search(
     left = index.select("id", "v", spread(n_blocks).alias("block"), every(q_blocks).alias("asked"))
     right = asked.select("id", "v", spread(q_blocks).alias("asked"), every(n_blocks).alias("block"))
     keys = ["block", "asked"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(partial(_search_block, dim, longest, k, settings), out)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(partial(_search_block, dim, k, settings), out)
     return _ranked(found, k)
 
 
-def _square(column: str):
-    return F.aggregate(column, F.lit(0.0), lambda a, x: a + x * x)
-
-
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -103,18 +106,24 @@ def _matrix(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], v[order]
 
 
-def _search_block(dim, longest, k, settings, left: pa.Table, right: pa.Table) -> pa.Table:
+def _search_block(dim, k, settings, left: pa.Table, right: pa.Table) -> pa.Table:
     empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
     if not len(left) or not len(right):
         return pa.table([pa.array(c) for c in empty], ["query_id", "id", "score"])
     ids, v = _matrix(left, dim)
     query_ids, q = _matrix(right, dim)
-    index = Index(v, longest, settings)
+    index = Index(v, settings)
+    norms = np.linalg.norm(q, axis=1)
     rows = []
-    for query_id, vector, values in zip(query_ids, q, index.project(q * (longest / np.linalg.norm(q, axis=1))[:, None])):
-        found = index.candidates(values, k + 1)
+    for query_id, vector, norm, values in zip(query_ids, q, norms, index.project(q * (index.longest / norms)[:, None])):
+        found, half = index.candidates(values, k + 1)
         found = found[ids[found] != query_id]
         rough = v[found] @ vector
+        safe = index.safe(np.partition(rough, -k)[-k] / norm if len(found) >= k else -index.longest)
+        if safe > half:
+            found, _ = index.collide(values, safe)
+            found = found[ids[found] != query_id]
+            rough = v[found] @ vector
         if len(found) > k:
             found = found[rough >= np.partition(rough, -k)[-k] - 1e-9 * max(1.0, float(np.abs(rough).max()))]
         # summed row by row, so that equal vectors get equal scores
@@ -125,12 +134,27 @@ def _search_block(dim, longest, k, settings, left: pa.Table, right: pa.Table) ->
     return pa.table([pa.array(c) for c in columns], ["query_id", "id", "score"])
 
 
+def _windows_per_distance(projections: int, least: int, miss: float) -> float:
+    """Half a window, as a multiple of a distance, in which a vector so far away collides in under ``least`` of the
+    projections with a chance of ``miss``."""
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        rate = (low + high) / 2
+        few = sum(math.comb(projections, n) * rate**n * (1 - rate) ** (projections - n) for n in range(least))
+        low, high = (rate, high) if few > miss else (low, rate)
+    return NormalDist().inv_cdf(min((1 + high) / 2, 1 - 1e-12))
+
+
 class Index:
     """Sorted arrays of projected values of one block."""
 
-    def __init__(self, v: np.ndarray, longest: float, settings: Settings):
+    def __init__(self, v: np.ndarray, settings: Settings):
         self.settings, self.n = settings, len(v)
-        rest = np.sqrt(np.maximum(0, longest**2 - (v * v).sum(axis=1)))
+        squares = (v * v).sum(axis=1)
+        self.longest = float(np.sqrt(squares.max()))
+        rest = np.sqrt(np.maximum(0, self.longest**2 - squares))
+        self.least = max(1, math.ceil(settings.threshold * settings.projections))
+        self.per_distance = _windows_per_distance(settings.projections, self.least, settings.miss)
         draw = np.random.default_rng(settings.seed)
         self.axes = draw.standard_normal((v.shape[1], settings.projections))
         self.extra = draw.standard_normal(settings.projections)
@@ -143,25 +167,35 @@ class Index:
         np.put_along_axis(self.places, order.T, np.arange(self.n, dtype=kind)[None, :], axis=1)
         # half a window that holds the share ``first`` of the block in the middle of an array, on average
         low, high = np.quantile(values, [0.5 - settings.first / 2, 0.5 + settings.first / 2], axis=0)
-        self.half = max(float(np.mean(high - low)) / 2, 1e-9 * longest)
+        self.half = max(float(np.mean(high - low)) / 2, 1e-9 * self.longest)
 
     def project(self, q: np.ndarray) -> np.ndarray:
         """Queries scaled to the common length have nothing left for the extra component."""
         return q @ self.axes
 
-    def candidates(self, values: np.ndarray, k: int) -> np.ndarray:
-        """Vectors that collide in enough windows, after widening until there are enough of them."""
+    def candidates(self, values: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+        """Vectors that collide in enough windows, after widening until there are enough of them, and half that window."""
         s = self.settings
         enough = min(self.n, max(k * s.per_neighbour, math.ceil(s.candidates * self.n)))
-        least = max(1, math.ceil(s.threshold * s.projections))
-        half, tally = self.half, np.uint8 if s.projections < 256 else np.int32
+        half = self.half
         while True:
-            low = np.array([a.searchsorted(x - half) for a, x in zip(self.values, values)])
-            width = np.array([a.searchsorted(x + half, "right") for a, x in zip(self.values, values)]) - low
-            # a place left of the window wraps around to a large number
-            inside = (self.places - low.astype(self.places.dtype)[:, None]) < width.astype(self.places.dtype)[:, None]
-            found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=tally) >= least)
-            if len(found) >= enough or (width == self.n).all():
+            found, whole = self.collide(values, half)
+            if len(found) >= enough or whole:
                 self.half = half / s.widen  # most queries need windows alike, so the next one starts near them
-                return found
+                return found, half
             half *= s.widen
+
+    def safe(self, score: float) -> float:
+        """Half the window in which vectors of this inner product with the query's direction, or more, are rarely missed."""
+        square = 2 * self.longest * (self.longest - score) + 1e-9 * self.longest**2
+        return self.per_distance * math.sqrt(max(square, 0.0))
+
+    def collide(self, values: np.ndarray, half: float) -> tuple[np.ndarray, bool]:
+        """Vectors that collide in enough windows, and whether every window holds the whole block."""
+        tally = np.uint8 if self.settings.projections < 256 else np.int32
+        low = np.array([a.searchsorted(x - half) for a, x in zip(self.values, values)])
+        width = np.array([a.searchsorted(x + half, "right") for a, x in zip(self.values, values)]) - low
+        # a place left of the window wraps around to a large number
+        inside = (self.places - low.astype(self.places.dtype)[:, None]) < width.astype(self.places.dtype)[:, None]
+        found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=tally) >= self.least)
+        return found, bool((width == self.n).all())

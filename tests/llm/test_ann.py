@@ -67,3 +67,26 @@ def test_recall(spark):
         shares.append(len(near & set(ids[np.lexsort((ids, -scores))[:20]].tolist())) / 20)
     assert len(shares) == int((ids % 50 == 0).sum())
     assert np.mean(shares) >= 0.9
+
+
+@pytest.mark.parametrize("components, lengths", [(64, "log-normal"), (64, "one long"), (256, "equal")])
+def test_recall_whatever_the_lengths(spark, components, lengths):
+    """Neighbours are found where lengths differ, and where hashing tells vectors of many components apart badly."""
+    draw = np.random.default_rng(3)
+    v = draw.standard_normal((8000, components))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    if lengths == "log-normal":
+        v *= np.exp(0.6 * draw.standard_normal(len(v)))[:, None]
+    elif lengths == "one long":
+        v[4001] *= 3
+    v = v.astype(np.float32)
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], VECTORS)
+    got = {}
+    for r in ann.search(table, table.where("vec_id % 80 = 0"), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    shares, v = [], v.astype(float)
+    for q in range(0, len(v), 80):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        shares.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(shares) >= 0.97
