@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial
 
@@ -138,17 +137,14 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     max_rows: int = 20_000,
-    max_candidates: int = 50_000,
-    max_entries: int = 2_000,
-    max_exceptions: int = 500,
     least_evidence: float = 8.0,
     least_weight: float = 0.5,
 ) -> Model:
     """Learn a model from labelled texts.
 
     Of each label about ``max_rows`` rows are used at most, chosen by a hash of the id; ids with both labels, null ids and
-    null labels are left out. A pattern is tried if it has a log-likelihood ratio of ``least_evidence`` between the two labels,
-    and if it is among the ``max_entries`` with the most. Its weight comes from a ridge regression over all that are tried,
+    null labels are left out. Every pattern is tried that has a log-likelihood ratio of ``least_evidence`` between the two
+    labels, however rare it is; of nested ones the best. Its weight comes from a ridge regression over all that are tried,
     so that words which merely share copies with an entry get next to none; entries weigh ``least_weight`` or more. A word
     pair around an entry becomes an exception if it has as much evidence for the clean label. Without rows of both labels
     the model is empty.
@@ -169,21 +165,15 @@ def learn(
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Model({})
-    toxic = _counted(sample.where("label = 1"), None).where("n >= 3")
-    frequent = toxic.orderBy(F.desc("n"), "pattern").limit(max_candidates)
-    candidates = {r["pattern"]: r["n"] for r in frequent.collect()}
-    clean = {r["pattern"]: r["n"] for r in _counted(sample.where("label = 0"), frozenset(candidates)).collect()}
-    rated = _rated(candidates, clean, sizes, least_evidence, max_entries)
-    held = sample.mapInArrow(partial(_held, rated), "label int, places array<int>").where("size(places) > 0").collect()
-    fitted = _weights(len(rated), [r["places"] for r in held], [r["label"] for r in held], sizes)
+    rated = _rated(_evident(_counted(sample), 1, sizes, least_evidence).collect(), sizes, least_evidence)
+    held = sample.mapInArrow(partial(_held, rated), "label int, places array<int>").where("size(places) > 0").toArrow()
+    places = held.column("places").combine_chunks()
+    fitted = _weights(len(rated), places.flatten().to_numpy(), places.value_lengths().to_numpy(), held.column("label").to_numpy(), sizes)
     weights = {pattern: float(w) for pattern, w in zip(rated, fitted) if w >= least_weight}
     around = sample.mapInArrow(partial(_pairs, Model(weights)), "label int, pattern string, n long")
-    around = around.groupBy("pattern").agg(
-        F.sum(F.expr("if(label = 0, n, 0)")).alias("clean"), F.sum(F.expr("if(label = 1, n, 0)")).alias("toxic")
-    )
-    frequent = around.where("clean >= 3 AND toxic = 0").orderBy(F.desc("clean"), "pattern").limit(max_exceptions)
+    around = _evident(_by_label(around), 0, sizes, least_evidence).where("toxic = 0").orderBy(F.desc("clean"), "pattern")
     exceptions = tuple(
-        r["pattern"] for r in frequent.collect() if _evidence(r["clean"], r["toxic"], sizes[0], sizes[1]) >= least_evidence
+        r["pattern"] for r in around.collect() if _evidence(r["clean"], r["toxic"], sizes[0], sizes[1]) >= least_evidence
     )
     raw = Model(weights, exceptions)
     rows = sample.select("label", toxicity(F.col("text"), raw).alias("t")).select("label", "t.weight", "t.words").collect()
@@ -191,33 +181,43 @@ def learn(
     return Model(weights, exceptions, *_logistic(x, np.array([r["label"] for r in rows], float)))
 
 
-def _counted(sample: DataFrame, among: Iterable[str] | None) -> DataFrame:
-    """In how many texts each pattern occurs, as (pattern, n)."""
-    return (
-        sample.mapInArrow(partial(_patterns, among), "pattern string, n long")
-        .groupBy("pattern")
-        .agg(F.sum("n").alias("n"))
+def _by_label(counts: DataFrame) -> DataFrame:
+    """Partial counts (label, pattern, n) added up, as (pattern, clean, toxic)."""
+    return counts.groupBy("pattern").agg(
+        F.sum(F.expr("if(label = 0, n, 0)")).alias("clean"), F.sum(F.expr("if(label = 1, n, 0)")).alias("toxic")
     )
 
 
-def _patterns(among, batches):
+def _counted(sample: DataFrame) -> DataFrame:
+    """In how many texts of either label each pattern occurs, as (pattern, clean, toxic)."""
+    return _by_label(sample.mapInArrow(_patterns, "label int, pattern string, n long"))
+
+
+def _evident(counts: DataFrame, label: int, sizes: dict[int, int], least: float) -> DataFrame:
+    """The patterns with enough evidence for a label. Rounding may let a few others through."""
+    size, other = float(sizes[label]), float(sizes[1 - label])
+    k, z = (F.col(c).cast("double") for c in (("clean", "toxic"), ("toxic", "clean"))[label])
+    rate = (k + z) / (size + other)
+    part = lambda n, e: F.when(n > 0, n * F.log(n / e)).otherwise(0.0)
+    evidence = part(k, rate * size) + part(z, rate * other)
+    evidence += part(size - k, (1 - rate) * size) + part(other - z, (1 - rate) * other)
+    return counts.where((evidence >= least - 1e-6) & (k * other > z * size))
+
+
+def _patterns(batches):
     folds, seen = _folds(), Counter()
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             words = set(fold(text, folds))
-            found = {f" {w} " for w in words}
-            found.update(f" {w[:n]}" for w in words for n in STARTS if n <= len(w))
-            seen.update(found if among is None else found & among)
+            found = {(label, f" {w} ") for w in words}
+            found.update((label, f" {w[:n]}") for w in words for n in STARTS if n <= len(w))
+            seen.update(found)
             if len(seen) > HELD:
                 yield _counts(seen)
                 seen.clear()
     yield _counts(seen)
 
 
-def _counts(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["pattern", "n"])
-
-
 def _pairs(model, batches):
     """The word pairs around the hits of every text, each once a text."""
     matcher, seen = Matcher(model), Counter()
@@ -234,12 +234,12 @@ def _pairs(model, batches):
                     found.add((label, f"{after[0]} {after[1]}"))
             seen.update(found)
             if len(seen) > HELD:
-                yield _pair_counts(seen)
+                yield _counts(seen)
                 seen.clear()
-    yield _pair_counts(seen)
+    yield _counts(seen)
 
 
-def _pair_counts(seen: Counter) -> pa.RecordBatch:
+def _counts(seen: Counter) -> pa.RecordBatch:
     keys = list(seen)
     arrays = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string())]
     return pa.RecordBatch.from_arrays([*arrays, pa.array(list(seen.values()), pa.int64())], ["label", "pattern", "n"])
@@ -252,11 +252,10 @@ def _evidence(k: int, z: int, size: int, other: int) -> float:
     return part(k, rate * size) + part(z, rate * other) + part(size - k, (1 - rate) * size) + part(other - z, (1 - rate) * other)
 
 
-def _rated(toxic, clean, sizes, least, most) -> list[str]:
-    """The patterns with most evidence. Of nested ones only the best stays; on a tie, the longest word start."""
+def _rated(counted, sizes, least) -> list[str]:
+    """The patterns with evidence, most first. Of nested ones only the best stays; on a tie, the longest word start."""
     rated = []
-    for pattern, k in toxic.items():
-        z = clean.get(pattern, 0)
+    for pattern, z, k in counted:
         evidence = _evidence(k, z, sizes[1], sizes[0])
         if evidence >= least and (k + 0.5) * (sizes[0] + 1) >= 4 * (z + 0.5) * (sizes[1] + 1):
             rated.append((-round(evidence, 6), pattern.endswith(" "), -len(pattern), pattern))
@@ -267,8 +266,6 @@ def _rated(toxic, clean, sizes, least, most) -> list[str]:
             chosen.append(pattern)
             taken.add(pattern)
             starts.update(pattern[:n] for n in range(2, len(pattern) + 1))
-            if len(chosen) == most:
-                break
     return chosen
 
 
@@ -284,23 +281,23 @@ def _held(rated, batches):
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.int32()))], ["label", "places"])
 
 
-def _weights(n, held, labels, sizes, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
+def _weights(n, columns, lengths, labels, sizes, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
     """Weights of zero or above by logistic regression on which patterns a text holds, by accelerated gradient steps.
 
-    Texts that hold none count for the bias only.
+    ``columns`` are the patterns of one text after the other, ``lengths`` how many each holds. Texts that hold none count for
+    the bias only.
     """
-    if not n or not held:
+    if not n or not len(lengths):
         return np.zeros(n)
-    rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    columns = np.concatenate([np.array(h, np.int64) for h in held])
-    y = np.array(labels, float)
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    y = labels.astype(float)
     bare = {label: sizes[label] - int((y == label).sum()) for label in (0, 1)}
     # the curvature is at most a quarter of the largest sum over a text's patterns of their texts
     often = np.bincount(columns, minlength=n)
     bound = 0.25 * max(np.bincount(rows, often[columns]).max(), 1) + ridge
     w, z, bias, speed = np.zeros(n), np.zeros(n), math.log((sizes[1] + 1) / (sizes[0] + 1)), 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, z[columns], len(held)) + bias, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, z[columns], len(lengths)) + bias, -30, 30)))
         low = 1 / (1 + math.exp(-bias))
         bias += 4 * ((y - p).sum() + bare[1] * (1 - low) - bare[0] * low) / (sizes[0] + sizes[1])
         step = np.maximum(0, z + (np.bincount(columns, (y - p)[rows], n) - ridge * z) / bound)

@@ -53,6 +53,45 @@ def test_learned_words_and_exceptions(spark):
     assert sum(right) > 0.95 * len(right)
 
 
+def dealt(draw, texts, words, times):
+    """Put every word into ``times`` of the texts."""
+    for word in words:
+        for i in draw.sample(range(len(texts)), times):
+            texts[i].append(word)
+
+
+def coined(draw, n, length):
+    return ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length)) for _ in range(n)]
+
+
+def learned(spark, bad, good):
+    table = docs(spark, [(i, " ".join(t)) for i, t in enumerate(bad + good)])
+    labels = [(i, int(i < len(bad))) for i in range(len(bad) + len(good))]
+    return toxicity.learn(table, spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+
+def test_rare_toxic_words_beside_many_common_ones(spark):
+    """Words with full evidence are learned although more than 50,000 patterns occur in more toxic texts."""
+    draw = random.Random(5)
+    bad, good = [[] for _ in range(1000)], [[] for _ in range(1000)]
+    harmless, rare = coined(draw, 5400, 12), coined(draw, 20, 8)
+    dealt(draw, bad, harmless, 20)
+    dealt(draw, good, harmless, 20)
+    dealt(draw, bad, rare, 15)
+    entries = learned(spark, bad, good).weights
+    assert all(any(f" {w} ".startswith(e) for e in entries) for w in rare)
+
+
+def test_many_toxic_words(spark):
+    """No number of entries and exceptions is the most that is learned."""
+    draw = random.Random(6)
+    bad, good = [[f"w{i % 7}x"] for i in range(15_000)], [[f"w{i % 7}x"] for i in range(15_000)]
+    words = sorted({w[:4]: w for w in coined(draw, 2300, 8)}.values())
+    dealt(draw, bad, words, 15)
+    entries = learned(spark, bad, good).weights
+    assert len(words) > 2100 and len(entries) >= len(words) and all(f" {w} "[:5] in {e[:5] for e in entries} for w in words)
+
+
 def test_nothing_to_learn(spark):
     labels = "doc_id long, toxic int"
     table = docs(spark, awkward())
