@@ -121,6 +121,33 @@ best AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM found QUALIFY r
 SELECT doc_id, name AS license, d AS dice, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses FROM documents LEFT JOIN best USING (doc_id)
 """
 
+RANKED_SEARCH = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark
+), total AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM doc),
+held AS (
+  SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM doc)
+  WHERE t IN (SELECT t FROM item) GROUP BY ALL
+),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY t), total
+),
+impact AS (SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)) AS i FROM held, total),
+score AS (
+  SELECT item_id, doc_id, CAST(sum(w * i) AS BIGINT) AS score
+  FROM item JOIN weight USING (t) JOIN impact USING (t) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
@@ -131,4 +158,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": LINE_DEDUP,
         "op8_decontamination": DECONTAMINATION,
         "op10_substring_dedup": SUBSTRING_DEDUP,
+        "op12_ranked_search": RANKED_SEARCH,
     }

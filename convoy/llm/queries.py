@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from convoy.llm import ann, bpe, decontaminate, langid, licenses, line_dedup, simhash, substring_dedup, toxicity, warc
+from convoy.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    langid,
+    licenses,
+    line_dedup,
+    ranked_search,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc,
+    whitening,
+)
 from convoy.llm.common import held_out, table
 
 #: From which score a document counts as toxic.
@@ -120,6 +134,39 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = whitening.grid(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(points, components=32)
+    error = whitening.identity_error(points, model)
+    return whitening.whiten(points, model).select(
+        F.col("id").alias("vec_id"),
+        "component",
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        "explained",
+        F.lit(error).alias("identity_error"),
+    )
+
+
 OPERATORS = (
     op1_toxicity,
     op2_licenses,
@@ -131,6 +178,9 @@ OPERATORS = (
     op8_decontamination,
     op9_neighbours,
     op10_substring_dedup,
+    op11_sharding,
+    op12_ranked_search,
+    op13_whitening,
 )
 
 
