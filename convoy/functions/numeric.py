@@ -27,11 +27,11 @@ def exact_sum(value: Column | str) -> Column:
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
     carried = F.abs(number) < 9e18
     finite = F.when(carried, number)
-    whole = F.floor(finite)
+    whole = finite.cast("bigint")  # towards zero, which leaves the fraction exact
     scaled = (finite - whole) * 1e6
     millionths = F.rint(scaled).cast("bigint")
-    # what arithmetic on doubles leaves over near a millionth is not a finer value
-    fine = F.abs(scaled - millionths) > 1e-3 + F.abs(finite) * 1e-9
+    # a few units in the last place of a double are no finer value
+    fine = F.abs(scaled - millionths) > F.abs(finite) * 1e-9
     odd = F.count_if(~carried | fine | F.isnan(number))
     wholes, rest = F.try_sum(whole), F.try_sum(millionths).cast("decimal(28,0)") * F.lit(Decimal("0.000001"))
     exact = (wholes.cast(TOTAL) + rest.cast(TOTAL)).cast("double")

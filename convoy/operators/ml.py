@@ -32,11 +32,12 @@ def assemble(df: DataFrame, features: list[str] | None = None) -> DataFrame:
 def split(
     df: DataFrame, key: list[str], test_share: float = TEST_SHARE, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows, chosen by a hash of the row key.
+    """Training and test rows, chosen by the MD5 of seed and row key, which any engine computes alike.
 
     A rerun task takes the same rows again; a random split could move rows between the two sides.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(_BUCKETS))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % _BUCKETS
     limit = round(test_share * _BUCKETS)
     return df.where(bucket >= limit), df.where(bucket < limit)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convoy.functions import events
@@ -152,9 +152,29 @@ def in_track_order(positions: DataFrame) -> DataFrame:
     return positions.repartitionByRange(*TRACK).sortWithinPartitions(*TRACK)
 
 
-def clean_tracks(positions: DataFrame) -> DataFrame:
+def clean_tracks(positions: DataFrame, parts: int | None = None) -> DataFrame:
     """One event per vehicle and instant, ordered over all output files, after a single shuffle.
 
-    All events of one instant fall into one range, which is all that removing copies needs.
+    All events of one instant fall into one range, which is all that removing copies needs. Spark chooses the number of
+    ranges by size unless ``parts`` is given.
     """
-    return dedup_positions(positions.repartitionByRange(*TRACK)).sortWithinPartitions(*TRACK)
+    ranges = positions.repartitionByRange(*([parts] if parts else []), *TRACK)
+    return dedup_positions(ranges).sortWithinPartitions(*TRACK)
+
+
+def file_ranges(stored: DataFrame) -> DataFrame:
+    """The rows and the first and last vehicle and time of every file of a stored table."""
+    key = F.struct(*TRACK)
+    files = stored.select("*", F.col("_metadata.file_path").alias("_file"))
+    return files.groupBy(F.col("_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("first"), F.max(key).alias("last")
+    )
+
+
+def overlapping_files(ranges: DataFrame) -> DataFrame:
+    """The files whose range begins before that of an earlier one has ended: none if the table is in order over its files.
+
+    One row per file goes through the window.
+    """
+    earlier = Window.orderBy("first", "last", "file").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("_ended", F.max("last").over(earlier)).where(F.col("first") <= F.col("_ended")).drop("_ended")

@@ -222,8 +222,63 @@ ROUTES = "SELECT route_key, route_id, origin, destination, distance_km, expected
 COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES)
 CLEAN = f"""SELECT {POSITION}, '{GPS_TOPIC}' AS _kafka_topic, event_id AS _offset, event_type AS kind"""
 
+# Columns whose text is the same in every engine.
+PRINTED = {
+    "dim_depot": "depot_id depot_name city capacity", "dim_vehicle": "vehicle_id type model depot_id", "dim_route": "route_id destination",
+    "dim_date": "date_key date quarter", "fact_delivery": "order_id vehicle_id status scan_status route_id location",
+    "fact_fuel": "fuel_key vehicle_id fuel_type", "fact_gps": "gps_key vehicle_id",
+    "fact_maintenance": "work_order_id issue priority",
+}
+PRINTS = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column, count(*) AS rows, count({c}) AS filled,
+        CAST(sum(CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 15) AS BIGINT)) AS VARCHAR) AS fingerprint FROM {t}"""
+    for t, columns in PRINTED.items()
+    for c in columns.split()
+)
+SECONDS = lambda x: when(f"date_trunc('second', {x})")
+# Lines of a file in which every seventh row is cut in three, and what a row that is not cut may have.
+CUT, LONG, BAD, NO_SPEED = (f"gps_key % {n} = 0" for n in (7, 11, 13, 17))
+WHOLE = f"NOT {CUT} AND ({NO_SPEED}) = ({LONG})"
+FAULTS = {
+    "open_quote": f"2 * count(*) FILTER (WHERE {CUT})",
+    "too_long": f"count(*) FILTER (WHERE NOT {CUT} AND {LONG} AND NOT {NO_SPEED})",
+    "short": f"count(*) FILTER (WHERE {CUT} OR {NO_SPEED} AND NOT {LONG})",
+}
+FAULT_ROWS = {
+    **FAULTS,
+    **{f"refused {name}": n for name, n in FAULTS.items()},
+    **{f"unreadable {c}": "0" for c in ("timestamp", "latitude", "longitude")},
+    "unreadable speed": f"count(*) FILTER (WHERE {WHOLE} AND ({NO_SPEED} OR {BAD}))",
+    "loaded": f"count(*) FILTER (WHERE {WHOLE})",
+}
+
 QUERIES = {
     "row_counts": COUNTS,
+    "warehouse_rebuild": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, true AS refused FROM {t}"
+        for t in ("dim_depot", "dim_vehicle", "dim_driver", "dim_route", "fact_gps", "fact_trip")
+    ),
+    "copy_fingerprints": PRINTS,
+    "csv_depots": "SELECT CAST(depot_id AS VARCHAR) AS depot_id, depot_name, city, capacity FROM dim_depot",
+    "csv_drivers": """SELECT CAST(p_partkey AS VARCHAR) AS driver_id, p_name AS name, CAST(p_partkey % 25 AS VARCHAR) AS depot_id,
+        CAST(p_size AS BIGINT) AS experience_years, p_brand AS shift FROM part""",
+    "csv_routes": """SELECT CAST(route_id AS VARCHAR) AS route_id, CAST(origin AS VARCHAR) AS origin, destination, distance_km,
+        expected_duration_min FROM dim_route""",
+    "csv_customers": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, CAST(c_nationkey AS VARCHAR) AS city,
+        c_mktsegment AS service_area FROM customer""",
+    "csv_fuel": f"""SELECT CAST(vehicle_id AS VARCHAR) AS vehicle_id, {SECONDS('ts')} AS timestamp, liters, amount, fuel_type,
+        odometer_km FROM fact_fuel""",
+    "csv_gps": f"""SELECT CAST(vehicle_id AS VARCHAR) AS vehicle_id, {SECONDS('ts')} AS timestamp, latitude, longitude, speed
+        FROM fact_gps""",
+    "csv_telemetry": f"""SELECT CAST(user_id AS VARCHAR) AS vehicle_id, {SECONDS('ts')} AS timestamp,
+        CASE WHEN event_type IN ('click', 'view') THEN 'ON' ELSE 'OFF' END AS engine_status, k AS fuel_level_percent,
+        k * 0.6 AS remaining_fuel_liters, value AS odometer_km FROM keyed_events""",
+    "csv_maintenance": f"""SELECT work_order_id, CAST(vehicle_id AS VARCHAR) AS vehicle_id, issue, {SECONDS('opened_at')} AS opened_at,
+        {SECONDS('closed_at')} AS closed_at, priority, cost, downtime_hours FROM fact_maintenance""",
+    "load_faults": " UNION ALL ".join(
+        f"SELECT '{name}' AS fault, CAST({n} AS BIGINT) AS rows" + (" FROM fact_gps" if "count" in n else "")
+        for name, n in FAULT_ROWS.items()
+    ),
     "warehouse_copy": COUNTS,
     "warehouse_layout": """SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS rows,
         count(DISTINCT vehicle_id) AS vehicles FROM fact_gps GROUP BY 1""",
@@ -267,6 +322,15 @@ QUERIES = {
     "exceptions": "SELECT * FROM found",
     "published_views": """SELECT exception_type, severity, count(*) AS found, max(metric_value) AS worst FROM found
         GROUP BY exception_type, severity""",
+    "published_rows": " UNION ALL ".join(
+        f"SELECT '{view}' AS view_name, count(*) AS rows FROM {table}"
+        for view, table in (
+            ("vw_delivery_trend", "trend"), ("vw_fuel_efficiency", "efficiency"), ("vw_cost_per_delivery", "delivery_cost"),
+            ("vw_idle_time", "(SELECT DISTINCT vehicle_id FROM fact_vehicle_telemetry)"), ("vw_maintenance_kpi", "upkeep"),
+            ("vw_route_performance", "route_kpi"), ("vw_vehicle_kpi", "vehicle_report"), ("vw_depot_performance", "depot_report"),
+            ("vw_executive_kpis", "(SELECT 1)"), ("vw_exceptions", "found"),
+        )
+    ),
     "first_trend_days": "SELECT * FROM trend ORDER BY date LIMIT 20",
     "worst_routes": """SELECT route_id, origin, destination, total_orders, delayed_orders, delay_rate FROM route_kpi
         WHERE total_orders > 0 ORDER BY delay_rate DESC, route_id LIMIT 10""",
@@ -362,6 +426,26 @@ QUERIES = {
     "silver_page": f"SELECT {POSITION} FROM clean_gps ORDER BY vehicle_id, ts LIMIT 10",
     "silver_latest": f"""SELECT {POSITION} FROM clean_gps
         QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY ts DESC, event_id, part) = 1""",
+    "silver_overspeed": f"""SELECT vehicle_id, speed, {when('ts')} AS timestamp,
+        CAST(round(CAST(speed AS DECIMAL(38,8)), 1) AS DOUBLE) AS shown_speed
+        FROM clean_gps WHERE speed > 70 ORDER BY speed DESC, vehicle_id, ts LIMIT 10""",
+    "silver_trails": """SELECT vehicle_id, CAST(row_number() OVER (PARTITION BY vehicle_id ORDER BY ts) - 1 AS INTEGER) AS position,
+            latitude, longitude
+        FROM (SELECT *, count(*) OVER (PARTITION BY vehicle_id) AS points FROM clean_gps
+            QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY ts DESC) <= 15)
+        WHERE points > 1""",
+    "silver_box": """SELECT min(latitude) AS south, max(latitude) AS north, min(longitude) AS west, max(longitude) AS east
+        FROM (SELECT * FROM clean_gps QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY ts DESC) = 1)""",
+    "silver_with_vehicle": f"""SELECT l.vehicle_id, {when('ts')} AS timestamp, latitude, longitude, speed, type, model
+        FROM (SELECT * FROM clean_gps QUALIFY row_number() OVER (PARTITION BY vehicle_id ORDER BY ts DESC) = 1) l
+        LEFT JOIN dim_vehicle v ON l.vehicle_id = concat('V', v.vehicle_id)""",
+    "silver_file_order": """SELECT CAST(count(*) AS BIGINT) AS rows, min(vehicle_id) AS first_vehicle, max(vehicle_id) AS last_vehicle,
+        true AS several_files, CAST(0 AS BIGINT) AS overlapping_files FROM clean_gps""",
+    "stream_counts": "SELECT topic, reason AS reject_reason, count(*) AS events FROM outcomes GROUP BY topic, reason",
+    "bronze_topics": f"""SELECT '{GPS_TOPIC}' AS kafka_topic, count(*) AS messages,
+            count(*) FILTER (WHERE event_type = 'error') AS unreadable, max(event_id) AS last_offset FROM gps_messages
+        UNION ALL SELECT '{DELIVERY_TOPIC}', count(*), 0, max(o_orderkey) FROM orders
+        UNION ALL SELECT '{VEHICLE_TOPIC}', count(*), 0, max(event_id) FROM events""",
     "topic_counts": """SELECT topic, count(*) FILTER (WHERE reason IS NULL) AS processed, count(reason) AS rejected
         FROM outcomes GROUP BY topic""",
     "reject_counts": """SELECT topic, reason AS reject_reason, count(*) AS events FROM outcomes WHERE reason IS NOT NULL
@@ -382,6 +466,8 @@ QUERIES = {
     "model_features": """SELECT l_orderkey, l_linenumber, l_quantity * 10 AS feature_0,
         20 + l_discount * CAST(800 AS DOUBLE) AS feature_1, CAST(10 + l_partkey % 91 AS DOUBLE) AS feature_2
         FROM lineitem""",
+    "model_split": """SELECT l_orderkey, l_linenumber, CASE WHEN CAST('0x' || substr(md5(concat_ws('|', 42, l_orderkey,
+        l_linenumber)), 1, 8) AS BIGINT) % 1000 >= 200 THEN 'train' ELSE 'test' END AS side FROM lineitem""",
 }
 
 

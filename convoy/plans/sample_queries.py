@@ -14,15 +14,24 @@ from convoy.operators import kpi, latest, lookup, ml, quality, reports, serving,
 from convoy.operators.lookup import attach_last_scan
 from convoy.plans.kpi_views import kpi_view, publish_kpis
 from convoy.plans.refine import read_quarantine, read_silver, read_unrouted, refine_bronze
-from convoy.plans.warehouse import ORDER_COLUMNS, read_orders, read_scans, trips_from_gps
+from convoy.plans.warehouse import ORDER_COLUMNS, read_maintenance, read_orders, read_scans, trips_from_gps
+from convoy.schemas import BUSINESS_KEYS
 from convoy.session import work_dir
 from convoy.sources import bronze
-from convoy.sources.csv import LOADS, load_csv
+from convoy.sources.csv import LOADS, faults, kinds_of, load_csv, read_refused
 from convoy.sources.sample import SampleFleet
-from convoy.sources.tables import copy_tables, read_table, write_table
+from convoy.sources.tables import (
+    LoadError,
+    View,
+    copy_tables,
+    fingerprints,
+    read_table,
+    rebuild_tables,
+    write_table,
+)
 from convoy.streaming.ingest import write_bronze
 from convoy.streaming.live import read_live, write_live
-from convoy.streaming.refine import read_stream_silver, write_silver
+from convoy.streaming.refine import read_stream_counts, read_stream_silver, write_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,6 +167,52 @@ def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_live(spark, f"{root}/positions"))
 
 
+def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed and rejected events of all topics, as their streams have counted them, some files to a micro-batch."""
+    fleet, root, counts = SampleFleet(spark, sf_dir), work_dir(spark, "counted"), None
+    topics = (
+        (silver.GPS_RULES, fleet.gps_messages()),
+        (silver.DELIVERY_RULES, fleet.delivery_messages),
+        (silver.VEHICLE_RULES, fleet.vehicle_messages),
+    )
+    for rules, messages in topics:
+        source, target = f"{root}/messages/{rules.topic}", f"{root}/silver/{rules.topic}"
+        messages.repartition(4, F.crc32(F.col("offset").cast("string"))).write.parquet(source)
+        files = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        stream = write_silver(bronze.envelope_from_messages(files), rules, target, f"{root}/checkpoint/{rules.topic}")
+        stream.awaitTermination()
+        found = read_stream_counts(spark, target, rules)
+        counts = found if counts is None else counts.unionByName(found)
+    return counts
+
+
+def _all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of all topics through one stream into Bronze, then counted where they lie."""
+    fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "topics")
+    messages = fleet.gps_messages().unionByName(fleet.delivery_messages).unionByName(fleet.vehicle_messages)
+    messages.write.parquet(f"{root}/messages")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{root}/messages")
+    write_bronze(stream, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+    stored = bronze.read_bronze(spark, f"{root}/bronze").groupBy("kafka_topic")
+    return stored.agg(
+        F.count(F.lit(1)).alias("messages"), F.count("raw").alias("unreadable"), F.max("offset").alias("last_offset")
+    )
+
+
+def _file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean positions written in track order over several files, and how many of those overlap."""
+    path = f"{work_dir(spark, 'ordered')}/gps"
+    good = silver.accepted(silver.check_events(_gps(SampleFleet(spark, sf_dir)), silver.GPS_RULES))
+    silver.gps_record(silver.clean_tracks(good, parts=7)).write.parquet(path)
+    ranges = silver.file_ranges(spark.read.parquet(path))
+    figures = ranges.agg(
+        F.sum("rows").alias("rows"), F.min("first.vehicle_id").alias("first_vehicle"), F.max("last.vehicle_id").alias("last_vehicle"),
+        (F.count(F.lit(1)) > 1).alias("several_files"),
+    )
+    wrong = silver.overlapping_files(ranges).agg(F.count(F.lit(1)).alias("overlapping_files"))
+    return kpi.merge_rows(figures, wrong)
+
+
 def _copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables copied with reconciled counts, then counted where they arrived."""
     fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "copied")
@@ -174,6 +229,131 @@ def _laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy(day).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("vehicle_id").alias("vehicles"))
 
 
+# What the rebuild is shown on: dimensions, one fact and a stored view of it.
+REBUILT = ("dim_depot", "dim_vehicle", "dim_driver", "dim_route", "fact_gps")
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables built, then rebuilt with a repeated depot, which must be refused and change nothing; then counted."""
+    fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "rebuilt")
+    tables = {**{name: fleet[name] for name in REBUILT}, "fact_trip": View("fact_gps", {"gps_key": "trip_key"})}
+    rebuild_tables(spark, tables, root, BUSINESS_KEYS)
+    twice = {**tables, "dim_depot": fleet["dim_depot"].unionByName(fleet["dim_depot"])}
+    try:
+        rebuild_tables(spark, twice, root, BUSINESS_KEYS)
+        refused = False
+    except LoadError:
+        refused = True
+    counts = None
+    for name in tables:
+        count = read_table(spark, root, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        counts = count if counts is None else counts.unionByName(count)
+    return counts.withColumn("refused", F.lit(refused))
+
+
+def _text_hash(value: Column) -> Column:
+    """Sixty bits of the MD5 of a value's text, which any engine computes alike."""
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 15), 16, 10).cast("bigint")
+
+
+# Columns whose text is the same in every engine.
+PRINTED = {
+    "dim_depot": ("depot_id", "depot_name", "city", "capacity"),
+    "dim_vehicle": ("vehicle_id", "type", "model", "depot_id"),
+    "dim_route": ("route_id", "destination"),
+    "dim_date": ("date_key", "date", "quarter"),
+    "fact_delivery": ("order_id", "vehicle_id", "status", "scan_status", "route_id", "location"),
+    "fact_fuel": ("fuel_key", "vehicle_id", "fuel_type"),
+    "fact_gps": ("gps_key", "vehicle_id"),
+    "fact_maintenance": ("work_order_id", "issue", "priority"),
+}
+
+
+def _copy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints of copied tables, column by column; the copy itself compares them with its source."""
+    fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "prints")
+    copy_tables(spark, {name: fleet[name] for name in PRINTED}, root)
+    found = None
+    for name, columns in PRINTED.items():
+        rows = fingerprints(read_table(spark, root, name).select(*columns), _text_hash).where(F.col("column") != "*")
+        rows = rows.select(F.lit(name).alias("table_name"), "column", "rows", "filled", F.col("fingerprint").cast("string").alias("fingerprint"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _raw_file(spark: SparkSession, df: DataFrame, load) -> str:
+    """A sample table as the raw file of a load, with another column before its own; returns the folder."""
+    root, names = work_dir(spark, "raw"), dict(load.renamed)
+    times = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    columns = [(_iso(c) if c in times else F.col(c)).alias(names.get(c, c)) for c in reversed(load.columns)]
+    df.select(F.lit("x").alias("other"), *columns).write.option("header", True).csv(f"{root}/{load.file}")
+    return root
+
+
+def _loaded(table: str) -> Query:
+    """A raw file of the table, loaded by header name."""
+    load = next(load for load in LOADS if load.table == table)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _raw_file(spark, SampleFleet(spark, sf_dir)[table], load)
+        return plain(load_csv(spark, root, load).drop(load.key))
+
+    return run
+
+
+def _csv_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work orders written as a raw file, then read and timed as the warehouse build does."""
+    root = work_dir(spark, "raw")
+    columns = ("work_order_id", "vehicle_id", "issue", "opened_at", "closed_at", "priority", "cost")
+    rows = SampleFleet(spark, sf_dir)["fact_maintenance"].select(*[_iso(c) if c.endswith("_at") else F.col(c) for c in columns])
+    rows.write.option("header", True).csv(f"{root}/maintenance.csv")
+    return plain(read_maintenance(spark, root).drop("maintenance_key"))
+
+
+def _planted_file(spark: SparkSession, sf_dir: str) -> str:
+    """Positions as a raw file in which every seventh vehicle is cut by line breaks inside its quotes, every eleventh line has
+    a value too many, every thirteenth a speed that is no number and every seventeenth no speed. The header stands before
+    every line."""
+    root = work_dir(spark, "planted")
+    gps, key = SampleFleet(spark, sf_dir)["fact_gps"], F.col("gps_key")
+    vehicle = F.col("vehicle_id").cast("string")
+    vehicle = F.when(key % 7 == 0, F.concat(F.lit('"a\nb\n'), vehicle, F.lit('"'))).otherwise(vehicle)
+    parts = [vehicle, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("1.5"), F.lit("2.5")]
+    speed = F.when(key % 17 == 0, "").when(key % 13 == 0, ",fast").otherwise(F.concat(F.lit(","), F.col("speed").cast("string")))
+    line = F.concat(F.concat_ws(",", *parts), speed, F.when(key % 11 == 0, ",more").otherwise(""))
+    header = F.lit("vehicle_id,timestamp,latitude,longitude,speed\n")
+    gps.select(F.concat(header, line)).write.text(f"{root}/gps.csv")
+    return root
+
+
+def _load_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with a file of planted faults, the lines that were refused, and the rows that were loaded."""
+    root = _planted_file(spark, sf_dir)
+    load = next(load for load in LOADS if load.table == "fact_gps")
+    path = f"{root}/{load.file}"
+    found = faults(spark, path, kinds_of(load))
+    refused = read_refused(spark, path, strict=True).groupBy(F.concat(F.lit("refused "), "fault").alias("fault"))
+    loaded = load_csv(spark, root, load, strict=True).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("loaded").alias("fault"), "rows")
+    return found.unionByName(refused.agg(F.count(F.lit(1)).alias("rows"))).unionByName(loaded)
+
+
+def _view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all ten published views, asked in SQL."""
+    names = publish_kpis(SampleFleet(spark, sf_dir))
+    return spark.sql(" UNION ALL ".join(f"SELECT '{name}' AS view_name, count(*) AS rows FROM {name}" for name in names))
+
+
+def _silver_trails(t: SampleFleet) -> DataFrame:
+    trail = latest.trails(_silver(t), tiebreak="_offset", min_points=2)
+    points = trail.select("vehicle_id", F.posexplode("trail").alias("position", "point"))
+    return points.select("vehicle_id", "position", "point.latitude", "point.longitude")
+
+
+def _silver_with_vehicle(t: SampleFleet) -> DataFrame:
+    vehicles = t["dim_vehicle"].withColumn("vehicle_id", F.concat(F.lit("V"), F.col("vehicle_id").cast("string")))
+    return lookup.with_vehicle(silver.gps_record(latest.latest_silver(_silver(t))), vehicles)
+
+
 def _iso(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss").alias(name)
 
@@ -238,8 +418,19 @@ def queries() -> dict[str, Query]:
         "row_counts": _over(quality.row_counts),
         "warehouse_copy": _copied,
         "warehouse_layout": _laid_out,
+        "warehouse_rebuild": _rebuilt,
+        "copy_fingerprints": _copy_fingerprints,
         "csv_vehicles": _csv_vehicles,
         "csv_deliveries": _csv_deliveries,
+        "csv_depots": _loaded("dim_depot"),
+        "csv_drivers": _loaded("dim_driver"),
+        "csv_routes": _loaded("dim_route"),
+        "csv_customers": _loaded("dim_customer"),
+        "csv_fuel": _loaded("fact_fuel"),
+        "csv_gps": _loaded("fact_gps"),
+        "csv_telemetry": _loaded("fact_vehicle_telemetry"),
+        "csv_maintenance": _csv_maintenance,
+        "load_faults": _load_faults,
         "dim_depot": _over(lambda t: t["dim_depot"]),
         "dim_date": _over(lambda t: t["dim_date"]),
         "fact_delivery": _over(lambda t: t["fact_delivery"].drop("delivery_key")),
@@ -258,6 +449,7 @@ def queries() -> dict[str, Query]:
         "executive_kpis": _view("vw_executive_kpis"),
         "exceptions": _view("vw_exceptions"),
         "published_views": _published,
+        "published_rows": _view_rows,
         # Ranked reports
         "first_trend_days": _over(lambda t: reports.first_days(_trend(t))),
         "worst_routes": _over(lambda t: reports.worst_routes(_routes(t))),
@@ -326,12 +518,19 @@ def queries() -> dict[str, Query]:
             lambda t: serving.shown_first(silver.gps_record(_silver(t)), SILVER_PAGE, "vehicle_id", "timestamp")
         ),
         "silver_latest": _over(lambda t: silver.gps_record(latest.latest_silver(_silver(t)))),
+        "silver_overspeed": _over(lambda t: serving.overspeed_alerts(silver.gps_record(_silver(t)), [F.col("vehicle_id"), F.col("timestamp")])),
+        "silver_trails": _over(_silver_trails),
+        "silver_box": _over(lambda t: serving.bounding_box(latest.latest_silver(_silver(t)))),
+        "silver_with_vehicle": _over(_silver_with_vehicle),
+        "silver_file_order": _file_order,
         "topic_counts": _over(lambda t: silver.topic_counts(_checked(t))),
         "reject_counts": _over(lambda t: silver.reject_counts(_checked(t))),
         "refined_tables": _refined,
         # Events, streamed
         "bronze_ingest": _ingested,
+        "bronze_topics": _all_topics,
         "silver_stream": _streamed,
+        "stream_counts": _stream_counts,
         "live_stream": _live,
         # Fuel model
         "model_features": _over(_features),

@@ -61,3 +61,23 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, or of the first file of a folder that has any; None if it is compressed or there is none."""
+    fs, where = _at(spark, path)
+    statuses = sorted(fs.listStatus(where), key=lambda status: status.getPath().getName())
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    for status in statuses:
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")) or not status.isFile() or not status.getLen():
+            continue
+        if codecs.getCodec(status.getPath()) is not None:
+            return None
+        stream = fs.open(status.getPath())
+        try:
+            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return reader.readLine()
+        finally:
+            stream.close()
+    return None

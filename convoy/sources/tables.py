@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.operators.quality import bad_keys
-from convoy.schemas import EVENT_TIMES
+from convoy.schemas import EVENT_TIMES, type_for_declared
 from convoy.sources import files
 
 
+#: Bits of a hash that are summed together; sums of fewer than 2^41 rows stay in 64 bits.
+BITS = 22
+
+
 class LoadError(Exception):
     """A load or copy was refused; the target is as it was."""
 
 
+@dataclass(frozen=True)
+class View:
+    """A stored table that is another one of its version, with some columns renamed. It takes no space."""
+
+    of: str
+    renamed: Mapping[str, str] = field(default_factory=dict)
+
+
 def laid_out(df: DataFrame, table: str) -> DataFrame:
     """Facts get an event_date and are sorted by vehicle and time within it.
 
@@ -37,10 +52,18 @@ def write_table(df: DataFrame, path: str, table: str) -> None:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table of the newest committed version below root, or one that lies there by itself."""
+    """A table or view of the newest committed version below root, or a table that lies there by itself."""
     commits = files.names(spark, f"{root}/_commits")
     version = files.read_text(spark, f"{root}/_commits/{commits[-1]}") if commits else None
-    return spark.read.parquet(f"{root}/_versions/{version}/{table}" if version else f"{root}/{table}")
+    return _read(spark, f"{root}/_versions/{version}" if version else root, table)
+
+
+def _read(spark: SparkSession, root: str, table: str) -> DataFrame:
+    definition = f"{root}/_views/{table}"
+    if not files.exists(spark, definition):
+        return spark.read.parquet(f"{root}/{table}")
+    view = View(**json.loads(files.read_text(spark, definition)))
+    return _read(spark, root, view.of).withColumnsRenamed(dict(view.renamed))
 
 
 def _commit(spark: SparkSession, root: str, version: str) -> None:
@@ -63,22 +86,72 @@ def _write_as_is(df: DataFrame, path: str, table: str) -> None:
 
 
 def _stage(
-    tables: Mapping[str, DataFrame], staging: str, write: Callable[[DataFrame, str, str], None]
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame | View],
+    staging: str,
+    write: Callable[[DataFrame, str, str], None],
 ) -> dict[str, int]:
-    """Write all tables below the staging folder; the rows of each are counted while they pass."""
-    counts = {}
+    """Write all tables below the staging folder; the rows of each source are counted by a query of their own.
+
+    A count taken while rows pass would count some of them twice where a lost executor's work is done again.
+    """
     for table, df in tables.items():
-        seen = Observation()
-        write(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{staging}/{table}", table)
-        counts[table] = seen.get["rows"]
-    return counts
+        if isinstance(df, View):
+            files.write_text(spark, f"{staging}/_views/{table}", json.dumps(asdict(df)))
+        else:
+            write(df, f"{staging}/{table}", table)
+    counts = _rows({t: df for t, df in tables.items() if not isinstance(df, View)})
+    return {t: counts[df.of if isinstance(df, View) else t] for t, df in tables.items()}
+
+
+def _rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows of all tables, counted by one job."""
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows") for t, df in tables.items()]
+    return {row["table"]: row["rows"] for row in reduce(DataFrame.unionByName, counts).collect()} if counts else {}
 
 
 def _reconcile(spark: SparkSession, staging: str, counts: Mapping[str, int]) -> None:
+    """Compare the counts with those that the footers of the written files carry."""
+    written = _rows({table: _read(spark, staging, table) for table in counts})
     for table, rows in counts.items():
-        written = read_table(spark, staging, table).count()
-        if written != rows:
-            raise LoadError(f"{table}: {rows} rows read, {written} written")
+        if written[table] != rows:
+            raise LoadError(f"{table}: {rows} rows read, {written[table]} written")
+
+
+def fingerprints(df: DataFrame, hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """A row per column, and one named ``*`` for whole rows, as (column, rows, filled, fingerprint decimal).
+
+    The fingerprint is the sum of the 64-bit hashes of all values but NULL, so the order of rows is of no account, and a value
+    that changes, moves to another row or repeats changes it. ``hashed`` gives a value's hash. The hashes are summed in three
+    parts, which keeps the work per row in 64-bit additions.
+    """
+    hashes = {name: F.when(F.col(f"`{name}`").isNotNull(), hashed(F.col(f"`{name}`"))) for name in df.columns}
+    hashes["*"] = hashed(F.concat_ws("|", *[F.coalesce(h.cast("string"), F.lit("-")) for h in hashes.values()]))
+    low = F.lit((1 << BITS) - 1).cast("bigint")
+    sums = [F.count(F.lit(1)).alias("rows")]
+    for i, h in enumerate(hashes.values()):
+        pieces = (h.bitwiseAND(low), F.shiftrightunsigned(h, BITS).bitwiseAND(low), F.shiftrightunsigned(h, 2 * BITS))
+        sums += [F.count(h).alias(f"_n{i}"), *[F.coalesce(F.sum(p), F.lit(0)).alias(f"_{j}_{i}") for j, p in enumerate(pieces)]]
+    wide = lambda name, shift: F.col(name).cast("decimal(20,0)") * F.lit(1 << shift).cast("decimal(14,0)")
+    rows = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.col("rows"),
+            F.col(f"_n{i}").alias("filled"),
+            (wide(f"_0_{i}", 0) + wide(f"_1_{i}", BITS) + wide(f"_2_{i}", 2 * BITS)).cast("decimal(38,0)").alias("fingerprint"),
+        )
+        for i, name in enumerate(hashes)
+    ]
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
+def _compare(spark: SparkSession, staging: str, tables: Mapping[str, DataFrame]) -> None:
+    """Refuse a copy that holds other values than its source."""
+    for table, df in tables.items():
+        source, copied = ({r["column"]: r for r in fingerprints(x).collect()} for x in (df, _read(spark, staging, table)))
+        wrong = sorted(c for c in source.keys() | copied.keys() if source.get(c) != copied.get(c))
+        if wrong:
+            raise LoadError(f"{table}: other values written than read in {', '.join(wrong)}")
 
 
 def _promote(spark: SparkSession, staging: str, root: str, tables: Mapping[str, DataFrame]) -> None:
@@ -87,10 +160,23 @@ def _promote(spark: SparkSession, staging: str, root: str, tables: Mapping[str,
         files.move(spark, f"{staging}/{table}", f"{root}/{table}")
 
 
+def _check_keys(spark: SparkSession, staging: str, keys: Mapping[str, str]) -> None:
+    """Look for wrong keys in all staged tables by one job, which reads the key columns only."""
+    parts = [
+        bad_keys(_read(spark, staging, table), key).limit(5).select(F.lit(table).alias("table"), F.col("key").cast("string"))
+        for table, key in keys.items()
+    ]
+    wrong = reduce(DataFrame.unionByName, parts).collect() if parts else []
+    if wrong:
+        table = wrong[0]["table"]
+        examples = [row["key"] for row in wrong if row["table"] == table]
+        raise LoadError(f"{table}.{keys[table]} missing or repeated, e.g. {examples}")
+
+
 def rebuild_tables(
-    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, keys: Mapping[str, str]
+    spark: SparkSession, tables: Mapping[str, DataFrame | View], root: str, keys: Mapping[str, str]
 ) -> dict[str, int]:
-    """Replace the tables below root. A missing or repeated business key stops the load before anything is replaced.
+    """Replace the tables and views below root. A missing or repeated business key stops the load before anything is replaced.
 
     All tables are written as a new version and checked; keys are checked on the staged files, where only the key column is
     read. Readers see the old version until the new one is committed, so a load that fails anywhere changes nothing.
@@ -98,13 +184,9 @@ def rebuild_tables(
     version = uuid.uuid4().hex
     staging = f"{root}/_versions/{version}"
     try:
-        counts = _stage(tables, staging, write_table)
+        counts = _stage(spark, tables, staging, write_table)
         _reconcile(spark, staging, counts)
-        for table, key in keys.items():
-            if table in tables:
-                wrong = bad_keys(read_table(spark, staging, table), key).limit(5).collect()
-                if wrong:
-                    raise LoadError(f"{table}.{key} missing or repeated, e.g. {[row['key'] for row in wrong]}")
+        _check_keys(spark, staging, {table: key for table, key in keys.items() if table in tables})
         _commit(spark, root, version)
     except BaseException:
         commits = files.names(spark, f"{root}/_commits")
@@ -114,18 +196,31 @@ def rebuild_tables(
     return counts
 
 
-def copy_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    """Copy tables to a place that must not hold any of them yet; all arrive, with equal row counts, or none.
+def as_declared(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """Columns cast to the types that another store declares for them; a value that does not fit stops the copy."""
+    return df.withColumns({name: F.col(name).cast(type_for_declared(kind)) for name, kind in declared.items()})
+
+
+def copy_tables(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    declared: Mapping[str, Mapping[str, str]] | None = None,
+) -> dict[str, int]:
+    """Copy tables to a place that must not hold any of them yet; all arrive, with equal rows and values, or none.
 
-    Rows are written as they are read, without a shuffle.
+    ``declared`` gives the column types of another store, by table, to which values are cast on the way. Rows are written as
+    they are read, without a shuffle; then counts and fingerprints of both sides are compared.
     """
     taken = [t for t in tables if files.exists(spark, f"{root}/{t}")]
     if taken:
         raise LoadError(f"already there, nothing was changed: {', '.join(taken)}")
+    tables = {t: as_declared(df, (declared or {}).get(t, {})) for t, df in tables.items()}
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     try:
-        counts = _stage(tables, staging, _write_as_is)
+        counts = _stage(spark, tables, staging, _write_as_is)
         _reconcile(spark, staging, counts)
+        _compare(spark, staging, tables)
         try:
             _promote(spark, staging, root, tables)
         except Exception:

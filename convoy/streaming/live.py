@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from convoy.functions.predicates import motion_status, overspeed
 from convoy.operators.latest import first_rows
-from convoy.sources import files
+from convoy.sources import manifest
 
 REFRESH = "10 seconds"
 # Batches between two snapshots; an hour at the usual refresh.
@@ -37,18 +41,30 @@ def live_positions(positions: DataFrame) -> DataFrame:
 
 
 def write_live(
-    positions: DataFrame, path: str, checkpoint: str, snapshot_every: int = SNAPSHOT_EVERY, **trigger
+    positions: DataFrame,
+    path: str,
+    checkpoint: str,
+    snapshot_every: int = SNAPSHOT_EVERY,
+    retain: int = manifest.RETAIN,
+    **trigger,
 ) -> StreamingQuery:
-    """Write the vehicles that moved in each micro-batch, and now and then all of them.
+    """Write the vehicles that moved in each micro-batch, and all of them once there are ``snapshot_every`` such changes.
 
-    A batch run again replaces its own folders. Readers take the last snapshot and the changes after it.
+    The table's log names the last snapshot and the changes after it, one commit a batch; a batch committed before a restart
+    is passed over. Folders that a snapshot replaces are removed ``retain`` commits later.
     """
 
     def save(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
-        if (batch + 1) % snapshot_every == 0:
-            current = read_live(changed.sparkSession, path)
-            current.write.mode("overwrite").parquet(f"{path}/snapshots/batch={batch}")
+        spark = changed.sparkSession
+        number, state = manifest.newest(spark, path)
+        if batch <= state.get("last", -1):
+            return
+        folder = f"changes/batch={batch}-{uuid.uuid4().hex[:12]}"
+        changed.withColumn("_batch", F.lit(batch).cast("long")).write.parquet(f"{path}/{folder}")
+        state = {**state, "last": batch, "schema": changed.schema.json(), "changes": [*state.get("changes", []), folder]}
+        number = manifest.commit(spark, path, number, _live(state), retain=retain)
+        if len(state["changes"]) >= snapshot_every:
+            _snapshot(spark, path, number, retain)
 
     return (
         live_positions(positions)
@@ -60,12 +76,24 @@ def write_live(
     )
 
 
+def _live(state: dict) -> dict:
+    return {**state, "folders": [*([state["snapshot"]] if state.get("snapshot") else []), *state["changes"]]}
+
+
+def _snapshot(spark: SparkSession, path: str, number: int, retain: int) -> None:
+    """Write the current position of every vehicle and let the log name it in place of what it was made from."""
+    _, state = manifest.newest(spark, path)
+    folder = f"snapshots/batch={state['last']}-{uuid.uuid4().hex[:12]}"
+    current = read_live(spark, path).withColumn("_batch", F.lit(state["last"]).cast("long"))
+    current.write.parquet(f"{path}/{folder}")
+    manifest.commit(spark, path, number, _live({**state, "snapshot": folder, "changes": []}), state["folders"], retain)
+    for below in ("changes", "snapshots"):
+        manifest.sweep(spark, path, below)
+
+
 def read_live(spark: SparkSession, path: str) -> DataFrame:
-    """The current position of every vehicle, from its last change."""
-    changes = spark.read.parquet(f"{path}/changes")
-    done = files.finished(spark, f"{path}/snapshots")
-    if done:
-        newest = max(int(name.split("=")[1]) for name in done)
-        snapshot = spark.read.parquet(f"{path}/snapshots/batch={newest}").withColumn("batch", F.lit(newest))
-        changes = changes.where(F.col("batch") > newest).unionByName(snapshot)
-    return first_rows(changes, ["vehicle_id"], [F.col("batch").desc()]).drop("batch")
+    """The current position of every vehicle, from its last change. Fails if nothing was written yet."""
+    _, state = manifest.newest(spark, path)
+    schema = T.StructType.fromJson(json.loads(state["schema"])).add("_batch", T.LongType())
+    stored = spark.read.schema(schema).parquet(*[f"{path}/{folder}" for folder in state["folders"]])
+    return first_rows(stored, ["vehicle_id"], [F.col("_batch").desc()]).drop("_batch")

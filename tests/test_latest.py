@@ -92,7 +92,9 @@ def test_overspeed_list_and_counter(spark):
     top = serving.overspeed_alerts(df, [F.col("gps_key")])
     assert [r.speed for r in top.collect()] == [89.0 - k for k in range(10)]
     deliveries = spark.createDataFrame([("delayed",), ("Delayed",)], "scan_status string")
-    assert serving.alert_counters(df, df, deliveries).collect()[0].asDict() == {"overspeed": 10, "stopped": 1, "idle": 0, "delayed": 1}
+    assert serving.alert_counters(df, df, deliveries).collect()[0].asDict() == {
+        "overspeed": 10, "overspeed_total": 19, "stopped": 1, "idle": 0, "delayed": 1,
+    }
 
 
 def test_bounding_box_ignores_unplaced(spark):

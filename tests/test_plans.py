@@ -2,12 +2,15 @@
 
 import pytest
 
+from convoy.operators import quality
 from convoy.plans import sample_queries
+from convoy.schemas import TABLES, table_schema
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
     "csv_vehicles", "csv_deliveries", "warehouse_copy", "warehouse_layout", "refined_tables", "bronze_ingest", "silver_stream", "live_stream", "model_error",
-    "model_scores",
+    "model_scores", "warehouse_rebuild", "copy_fingerprints", "csv_depots", "csv_drivers", "csv_routes", "csv_customers", "csv_fuel",
+    "csv_gps", "csv_telemetry", "csv_maintenance", "load_faults", "bronze_topics", "stream_counts", "silver_file_order",
 }
 QUERIES = {n: q for n, q in sample_queries.queries().items() if n not in WRITES}
 
@@ -42,8 +45,19 @@ def test_newest_ties_are_spread(plans):
 
 
 def test_orphans_are_anti_joins_on_counted_keys(plans):
-    plan = plans["reference_checks"]
-    assert plan.count("LeftAnti") == 7 and "partial_count" in plan
+    plan = plans["unknown_gps_routes"]
+    assert plan.count("LeftAnti") == 1 and "partial_count" in plan
+
+
+@pytest.mark.parametrize("check, tables", [("all_checks", 12), ("reference_checks", 8), ("uniqueness_checks", 6)])
+def test_checks_read_each_table_once_and_shuffle_once_by_key(spark, tmp_path, check, tables):
+    stored = {}
+    for table in TABLES:
+        spark.createDataFrame([], table_schema(table)).write.parquet(str(tmp_path / table))
+        stored[table] = spark.read.parquet(str(tmp_path / table))
+    plan = getattr(quality, check)(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == tables
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
 
 
 def test_ranked_reports_do_not_sort_everything(plans):

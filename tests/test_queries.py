@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"model_split", "model_error", "model_scores"}
+    assert set(QUERIES) - set(ORACLE) == {"model_error", "model_scores"}
 
 
 def test_all_are_registered():

@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,17 @@ from convoy.plans.refine import read_quarantine, read_silver, read_unrouted, ref
 from convoy.sources import bronze
 from convoy.streaming.ingest import write_bronze
 from convoy.streaming.live import read_live, write_live
-from convoy.streaming.refine import append_parquet, read_stream_silver, stream_quarantine, write_silver
+from convoy.sources import files, manifest
+from convoy.streaming import live, refine
+from convoy.streaming.refine import (
+    BatchCounts,
+    append_parquet,
+    read_stream_counts,
+    read_stream_quarantine,
+    read_stream_silver,
+    stream_quarantine,
+    write_silver,
+)
 
 T0 = datetime(2026, 9, 30, 8)
 
@@ -127,3 +138,122 @@ def test_refined_tables(spark, tmp_path, lines):
     assert [r.raw for r in read_unrouted(spark, str(tmp_path / "out")).collect()] == ["{broken"]
     assert read_silver(spark, str(tmp_path / "out"), "gps-events").count() == 2
     assert [r.reject_reason for r in read_quarantine(spark, str(tmp_path / "out"), silver.GPS_RULES).collect()] == ["bad_speed"]
+
+
+def run_stream(spark, tmp_path, folder, **options):
+    envelopes = bronze.envelope_from_lines(bronze.stream_lines(spark, str(folder), files_per_trigger=1))
+    write_silver(envelopes, silver.GPS_RULES, str(tmp_path / "silver"), str(tmp_path / "cp"), **options).awaitTermination()
+    return read_stream_silver(spark, str(tmp_path / "silver"), silver.GPS_RULES)
+
+
+def data_files(path):
+    return [p for p in path.rglob("*.parquet") if "_log" not in p.parts]
+
+
+def test_files_do_not_grow_with_the_batches(spark, tmp_path):
+    """Eighteen micro-batches over two days: folders and log stay bounded, no table stays cached, and the rows are the batch's."""
+    folder, sizes = tmp_path / "in", []
+    for part in range(2):
+        for i in range(9):
+            k = 9 * part + i
+            put(folder, f"{k:03}.txt", [gps_line(10 * k, "V1", 60 * k), gps_line(10 * k + 1, "V2", 60 * k - 86400), "{broken"])
+        stored = run_stream(spark, tmp_path, folder, delay=100, compact_at=3, retain=2)
+        assert keys(stored) == keys(batch_rows(spark, folder))
+        number, state = manifest.newest(spark, str(tmp_path / "silver"))
+        sizes.append((len(state["entries"]), len(list((tmp_path / "silver").iterdir())), len(list((tmp_path / "silver" / "_log").glob("[0-9]*")))))
+    assert sizes[1][0] <= 3 * 2 * 4 and sizes[1][1] <= sizes[0][1] + 6 and sizes[1][2] <= 2
+    assert len(data_files(tmp_path / "silver")) <= 40
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    bad = read_stream_quarantine(spark, str(tmp_path / "silver"), silver.GPS_RULES)
+    assert bad.count() == 18 and {r.reject_reason for r in bad.collect()} == {"malformed_json"}
+
+
+def test_only_late_events_read_the_days_they_fall_on(spark, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "a.txt", [gps_line(i, "V1", 86400 * i) for i in range(4)])
+    run_stream(spark, tmp_path, folder)
+    _, state = manifest.newest(spark, str(tmp_path / "silver"))
+    entries, edge = state["entries"], state["high"] - 600_000_000
+    assert [e["part"] for e in refine.to_compare(entries, edge, [])] == ["2026-10-03"]
+    assert sorted(e["part"] for e in refine.to_compare(entries, edge, ["2026-09-30"])) == ["2026-09-30", "2026-10-03"]
+
+
+def test_a_reader_sees_the_table_before_or_after_a_merge(spark, tmp_path):
+    folder = tmp_path / "in"
+    for i in range(4):
+        put(folder, f"{i}.txt", [gps_line(i, "V1", i)])
+    before = run_stream(spark, tmp_path, folder, compact_at=100)
+    want, path = keys(before), str(tmp_path / "silver")
+    number, state = manifest.newest(spark, path)
+    refine._compact(spark, silver.GPS_RULES, path, state["entries"], number, state, retain=5)
+    assert keys(before) == want  # planned with the folders that the merge replaced
+    assert keys(read_stream_silver(spark, path, silver.GPS_RULES)) == want
+    assert len(manifest.newest(spark, path)[1]["entries"]) == 1
+
+
+@pytest.mark.parametrize("step", ["commit", "move", "sweep"])
+def test_a_stream_that_dies_at_a_commit_loses_and_repeats_nothing(spark, tmp_path, monkeypatch, step):
+    folder = tmp_path / "in"
+    for i in range(5):
+        put(folder, f"{i}.txt", [gps_line(2 * i, "V1", i), gps_line(2 * i + 1, "V2", i), gps_line(3, "V2", 1)])
+    calls = iter(range(100))
+
+    def dies(*args, **kwargs):
+        if next(calls) == (3 if step != "sweep" else 0):
+            raise OSError("lost")
+        return known(*args, **kwargs)
+
+    owner = files if step == "move" else manifest
+    known = getattr(owner, step)
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, dies)
+        with pytest.raises(Exception, match="lost"):
+            run_stream(spark, tmp_path, folder, compact_at=2, retain=1)
+    stored = run_stream(spark, tmp_path, folder, compact_at=2, retain=1)
+    assert keys(stored) == keys(batch_rows(spark, folder))
+    counts = {r.reject_reason: r.events for r in read_stream_counts(spark, str(tmp_path / "silver"), silver.GPS_RULES).collect()}
+    assert counts == {None: 15}
+
+
+def test_two_writers_can_not_commit_the_same_number(spark, tmp_path):
+    root = str(tmp_path / "log")
+    assert manifest.commit(spark, root, 0, {"folders": []}) == 1
+    with pytest.raises(manifest.CommitConflict):
+        manifest.commit(spark, root, 0, {"folders": ["x"]})
+    assert manifest.newest(spark, root) == (1, {"folders": [], "retired": []})
+
+
+def test_counts_come_with_every_batch(spark, tmp_path, lines):
+    put(lines, "b.txt", [gps_line(10, second=1), gps_line(11, second=5, speed=-3), "[]"])
+    seen = []
+    listener = BatchCounts(lambda name, batch, processed, rejected: seen.append((batch, processed, rejected)))
+    spark.streams.addListener(listener)
+    try:
+        run_stream(spark, tmp_path, lines)
+        for _ in range(100):
+            if len(seen) >= 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    envelopes = bronze.envelope_from_lines(bronze.read_lines(spark, str(lines)))
+    checked = silver.check_events(envelopes, silver.GPS_RULES)
+    want = {r.reject_reason: r["n"] for r in checked.groupBy("reject_reason").agg(F.count("*").alias("n")).collect()}
+    counts = read_stream_counts(spark, str(tmp_path / "silver"), silver.GPS_RULES)
+    assert {r.reject_reason: r.events for r in counts.collect()} == want
+    assert sum(p for _, p, _ in seen) == want[None] and sum(r for _, _, r in seen) == sum(want.values()) - want[None]
+
+
+def test_live_folders_stay_bounded(spark, tmp_path):
+    folder, path = tmp_path / "in", tmp_path / "live"
+    for i in range(14):
+        put(folder, f"{i:03}.txt", [gps_line(i, f"V{i % 3}", i, 10.0 + i)])
+    lines = bronze.stream_lines(spark, str(folder), files_per_trigger=1)
+    good = silver.accepted(silver.check_events(bronze.envelope_from_lines(lines), silver.GPS_RULES))
+    live.write_live(good, str(path), str(tmp_path / "cp"), 3, retain=2, availableNow=True).awaitTermination()
+    held = read_live(spark, str(path))
+    assert {r.vehicle_id: r.speed for r in held.collect()} == {"V0": 22.0, "V1": 23.0, "V2": 21.0}
+    assert len(list((path / "changes").iterdir())) <= 6 and len(list((path / "snapshots").iterdir())) <= 2
+    number, state = manifest.newest(spark, str(path))
+    live._snapshot(spark, str(path), number, retain=2)
+    assert {r.vehicle_id: r.speed for r in held.collect()} == {"V0": 22.0, "V1": 23.0, "V2": 21.0}

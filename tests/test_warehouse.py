@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from convoy.plans.kpi_views import VIEWS, publish_kpis
-from convoy.plans.warehouse import build_warehouse, raw_tables
+from convoy.plans.warehouse import build_warehouse, load_faults, raw_tables
 from convoy.schemas import TABLES, table_schema
-from convoy.sources.tables import LoadError, copy_tables, read_table, write_table
+from convoy.sources.tables import LoadError, as_declared, copy_tables, fingerprints, read_table, write_table
 
 FILES = {
     "depots.csv": "depot_id,depot_name,city,capacity\nD1,North,Berlin,10\n",
@@ -77,8 +77,8 @@ def test_orders_get_their_last_scan_and_dates(spark, tmp_path):
 
 def test_rebuild_replaces_the_warehouse(spark, tmp_path):
     raw, root = write_files(tmp_path), str(tmp_path / "wh")
-    for _ in range(2):
-        counts = build_warehouse(spark, raw, root)
+    build_warehouse(spark, raw, root)
+    counts = build_warehouse(spark, raw, root)
     assert counts["dim_vehicle"] == 2 and counts["fact_gps"] == 2 and len(counts) == 12
     gps = read_table(spark, root, "fact_gps")
     assert gps.select("event_date").distinct().collect()[0][0] == datetime.date(2026, 9, 30)
@@ -94,10 +94,17 @@ def test_a_rebuild_that_fails_leaves_all_old_or_all_new_tables(spark, tmp_path,
     from convoy.sources import files
     from convoy.sources import tables as module
 
-    raw, root = write_files(tmp_path), str(tmp_path / "wh")
-    build_warehouse(spark, raw, root)
-    build_warehouse(spark, raw, root)
-    write_files(tmp_path, depots=FILES["depots.csv"] + "D2,South,Bonn,5\n", drivers=FILES["drivers.csv"] + "P2,Bo,D2,1,Day\n")
+    root, keys = str(tmp_path / "wh"), {"dim_depot": "depot_id", "dim_driver": "driver_id"}
+
+    def build(rows):
+        depots, drivers = (spark.range(rows).selectExpr(f"concat('K', id) AS {key}") for key in keys.values())
+        module.rebuild_tables(spark, {"dim_depot": depots, "dim_driver": drivers, "copy": module.View("dim_depot")}, root, keys)
+
+    def seen():
+        return tuple(read_table(spark, root, t).count() for t in ("dim_depot", "dim_driver", "copy"))
+
+    build(1)
+    build(1)
 
     def fail(*_):
         raise OSError("lost")
@@ -105,21 +112,18 @@ def test_a_rebuild_that_fails_leaves_all_old_or_all_new_tables(spark, tmp_path,
     with monkeypatch.context() as patch:
         patch.setattr(files if hasattr(files, step) else module, step, fail)
         with pytest.raises(OSError, match="lost"):
-            build_warehouse(spark, raw, root)
-    seen = tuple(read_table(spark, root, t).count() for t in ("dim_depot", "dim_driver"))
-    assert seen == ((2, 2) if step == "drop" else (1, 1))
-    build_warehouse(spark, raw, root)
-    assert tuple(read_table(spark, root, t).count() for t in ("dim_depot", "dim_driver")) == (2, 2)
+            build(2)
+    assert seen() == ((2, 2, 2) if step == "drop" else (1, 1, 1))
+    build(2)
+    assert seen() == (2, 2, 2)
 
 
 @pytest.mark.parametrize("bad", ["V1,van,D1,3,m,60.5,x\nV1,bus,D1,3,m,60.5,x\n", ",van,D1,3,m,60.5,x\n"])
 def test_missing_or_repeated_key_stops_the_load(spark, tmp_path, bad):
-    raw, root = write_files(tmp_path), str(tmp_path / "wh")
-    build_warehouse(spark, raw, root)
-    write_files(tmp_path, vehicles=FILES["vehicles.csv"].split("\n")[0] + "\n" + bad)
+    raw, root = write_files(tmp_path, vehicles=FILES["vehicles.csv"].split("\n")[0] + "\n" + bad), str(tmp_path / "wh")
     with pytest.raises(LoadError, match="dim_vehicle.vehicle_id"):
         build_warehouse(spark, raw, root)
-    assert sorted(r.vehicle_id for r in read_table(spark, root, "dim_vehicle").collect()) == ["V1", "V2"]
+    assert not (tmp_path / "wh" / "_commits").exists() and not list((tmp_path / "wh" / "_versions").iterdir())
 
 
 def test_copy_refuses_a_taken_place(spark, tmp_path):
@@ -170,3 +174,82 @@ def test_a_day_with_most_rows_is_cut_into_several_files(spark, tmp_path):
     files = [len(list(day.glob("*.parquet"))) for day in (tmp_path / "fact_gps").glob("event_date=*")]
     assert max(files) > 4
     assert read_table(spark, str(tmp_path), "fact_gps").agg(F.count("*")).collect()[0][0] == 200_000
+
+
+BROKEN_GPS = (
+    FILES["gps.csv"]
+    + '"V2\nleft\nhere",2026-09-30T08:02:00,52.7,13.4,7\nV3,2026-09-30T08:03:00,52,1,9,too,many\nV4,2026-09-30T08:04:00,52,x,9\n'
+    + '"V5 ""big"", old",2026-09-30T08:05:00,52,1,3\n'
+)
+
+
+def test_a_line_break_in_a_fact_is_refused_and_counted(spark, tmp_path):
+    """Never two rows of one; short lines of a file without open quotes stay rows."""
+    raw, root = write_files(tmp_path, gps=BROKEN_GPS), str(tmp_path / "wh")
+    counts = build_warehouse(spark, raw, root)
+    assert counts["fact_gps"] == counts["fact_trip"] == 4 and counts["fact_fuel"] == 3
+    assert {t: read_table(spark, root, t).count() for t in TABLES} == counts
+    trips, gps = read_table(spark, root, "fact_trip"), read_table(spark, root, "fact_gps")
+    assert trips.columns == ["trip_key", *gps.columns[1:]] and not list((tmp_path / "wh").rglob("fact_trip/*"))
+    assert sorted(map(tuple, trips.collect())) == sorted(map(tuple, gps.collect()))
+    rows = {r.vehicle_id: r for r in read_table(spark, root, "fact_gps").collect()}
+    assert set(rows) == {"V1", "V4", 'V5 "big", old'} and rows["V4"].longitude is None
+    refused = sorted((r.fault, r.line) for r in read_table(spark, root, "load_refused").collect())
+    assert [f for f, _ in refused] == ["open_quote", "open_quote", "short", "too_long"] and ("short", "left") in refused
+    found = {(r.file, r.fault): r["rows"] for r in read_table(spark, root, "load_faults").collect() if r["rows"]}
+    assert found == {
+        ("gps.csv", "open_quote"): 2, ("gps.csv", "short"): 1, ("gps.csv", "too_long"): 1, ("gps.csv", "unreadable longitude"): 1,
+        ("fuel.csv", "short"): 1, ("fuel.csv", "unreadable amount"): 1,
+    }
+    assert load_faults(spark, raw).where("rows > 0").count() == 6
+
+
+def test_customers_are_split_and_other_dimensions_hold_line_breaks(spark, tmp_path):
+    from convoy.sources.csv import LOADS
+
+    breaks = {load.file for load in LOADS if load.line_breaks}
+    assert breaks == {"depots.csv", "vehicles.csv", "drivers.csv", "routes.csv"}
+    raw = write_files(tmp_path, customers='customer_id,customer_name,city,service_area\nC1,"Shop\nNorth",Berlin,Mitte\nC2,Inn,Bonn,Sued\n')
+    assert [r.customer_id for r in raw_tables(spark, raw, {"customers.csv"})["dim_customer"].collect()] == ["C2"]
+
+
+def test_a_copy_with_one_changed_value_is_refused(spark, tmp_path, monkeypatch):
+    from convoy.sources import tables as module
+
+    source = spark.range(50).selectExpr("id", "concat('n', id) AS name", "CAST(id AS double) / 3 AS share")
+    changes = {
+        "share, name": lambda df: df.withColumn("share", F.when(F.col("id") == 7, F.lit(2.5)).otherwise(F.col("share"))).withColumn(
+            "name", F.when(F.col("id") == 8, F.lit(None)).otherwise(F.col("name"))
+        ),
+        "swapped": lambda df: df.withColumn("share", (F.lit(49) - F.col("id")).cast("double") / 3),
+    }
+    for name, change in changes.items():
+        with monkeypatch.context() as patch:
+            patch.setattr(module, "_write_as_is", lambda df, path, table, change=change: change(df).write.parquet(path))
+            with pytest.raises(LoadError, match=r"written than read in \*(, name, share)?$"):
+                copy_tables(spark, {"a": source}, str(tmp_path / "copy"))
+        assert not (tmp_path / "copy" / "a").exists(), name
+    assert copy_tables(spark, {"a": source}, str(tmp_path / "copy")) == {"a": 50}
+
+
+def test_fingerprints_do_not_depend_on_order_or_partitions(spark):
+    df = spark.range(2000).selectExpr("id", "IF(id % 5 = 0, NULL, concat('x', id % 7)) AS name", "id / 7 AS share")
+    first = {r["column"]: r for r in fingerprints(df).collect()}
+    second = {r["column"]: r for r in fingerprints(df.orderBy(F.desc("id")).repartition(7)).collect()}
+    assert first == second and (first["name"]["rows"], first["name"].filled) == (2000, 1600)
+    doubled = {r["column"]: r for r in fingerprints(df.unionAll(df)).collect()}
+    assert all(doubled[c].fingerprint == 2 * first[c].fingerprint for c in first)
+    assert {r.fingerprint for r in fingerprints(df.limit(0)).collect()} == {0}
+
+
+def test_a_copy_casts_to_declared_types(spark, tmp_path):
+    rows = spark.createDataFrame([("7", "2.5", "x", "2026-09-30 10:00:00")], "a string, b string, c string, d string")
+    declared = {"t": {"a": "INTEGER", "b": "DOUBLE PRECISION", "c": "VARCHAR(9)", "d": "TIMESTAMP"}}
+    copy_tables(spark, {"t": rows}, str(tmp_path / "copy"), declared)
+    copied = spark.read.parquet(str(tmp_path / "copy" / "t"))
+    assert [k for _, k in copied.dtypes] == ["bigint", "double", "string", "timestamp"]
+    assert copied.first().a == 7
+    assert dict(as_declared(rows, {"d": "DATETIME"}).dtypes)["d"] == "date"
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        copy_tables(spark, {"u": rows}, str(tmp_path / "copy"), {"u": {"c": "INT"}})
+    assert not (tmp_path / "copy" / "u").exists()
