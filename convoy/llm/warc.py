@@ -1,14 +1,17 @@
 """Web archives inside ZIP files: writing them, and reading records by range without unpacking.
 
-An archive is a ZIP of two stored members: WARC records, each gzipped by itself, and an index of where each one lies. The
-reader takes the central directory from the end of the file, ZIP64 included, finds the members, and reads the index and
-then only the byte ranges it names. Every step is a Spark stage: archives, index lines, records.
+An archive is a ZIP with stored members: WARC records under ``archive/``, each gzipped by itself, and under ``indexes/`` lists of
+where each one lies. The reader takes the central directory from the end of the file, ZIP64 included, finds the members, reads
+the indexes (CDX, CDXJ, or plain offsets and lengths) and then only the byte ranges that they name. What no index covers is
+scanned for records, range by range. Every step is a Spark stage: archives, unlisted ranges, records.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import json
 import re
 import struct
 import uuid
@@ -25,8 +28,12 @@ from convoy.llm.common import cut
 from convoy.session import work_dir
 
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
-#: Bytes of payload from which an archive is closed, and of one read of neighbouring records.
-ARCHIVE, READ = 32 << 20, 4 << 20
+#: Bytes of payload from which an archive is closed, of one read of neighbouring records, and of a range to scan.
+ARCHIVE, READ, RANGE = 32 << 20, 4 << 20, 16 << 20
+#: Index lines that are read in one task, about.
+LINES = 4096
+#: How a gzipped record begins.
+GZIP = b"\x1f\x8b\x08"
 LEVEL = 3
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -183,8 +190,15 @@ def stored_range(read, member: tuple[int, int, int, int]) -> tuple[int, int]:
 
 
 def index_lines(archives: DataFrame) -> DataFrame:
-    """Where each record lies, as (archive, offset long, length long): from the directories and indexes only."""
-    return archives.select("archive").mapInArrow(_read_index, "archive string, offset long, length long")
+    """Where each record lies, as (archive, offset long, length long).
+
+    Only directories and indexes are read, and of archive members the stretches that no index line covers.
+    """
+    shape = "archive string, offset long, length long, stop long"
+    places = cut(archives.select("archive").mapInArrow(_read_index, shape))
+    known, rest = places.where("stop IS NULL").drop("stop"), places.where("stop IS NOT NULL")
+    spread = rest.repartition("archive", "offset")
+    return known.unionByName(spread.mapInArrow(_scan, "archive string, offset long, length long"))
 
 
 def _open(path: str):
@@ -193,18 +207,118 @@ def _open(path: str):
     return file, lambda offset, length: file.read_at(length, offset)
 
 
+def parse_index(data: bytes, names: list[str]) -> list[tuple[str, int, int]]:
+    """(file, offset, length) of the lines of an index that name all three.
+
+    CDXJ lines end in a JSON object. CDX lines follow a header that gives each column a letter. Plain lines hold an offset and a
+    length, and count if there is a single file among ``names``.
+    """
+    text = gzip.decompress(data) if data.startswith(GZIP) else data
+    found, columns = [], None
+    for line in text.decode("utf-8", "replace").splitlines():
+        parts = line.split()
+        if parts[:1] == ["CDX"]:
+            columns = {letter: i for i, letter in enumerate(parts[1:])}
+        elif line.rstrip().endswith("}"):
+            entry = json.loads(line[line.index("{") :])
+            if {"offset", "length"} <= entry.keys():
+                found.append((entry.get("filename") or names[0], int(entry["offset"]), int(entry["length"])))
+        elif columns is not None and len(parts) == len(columns):
+            place = [parts[columns[c]] if c in columns else "-" for c in "gVS"]
+            if place[1].isdigit() and place[2].isdigit():
+                found.append((place[0] if place[0] != "-" else names[0], int(place[1]), int(place[2])))
+        elif len(parts) == 2 and len(names) == 1 and all(p.isdigit() for p in parts):
+            found.append((names[0], int(parts[0]), int(parts[1])))
+    return found
+
+
 def _read_index(batches):
     for batch in batches:
         for path in batch.column("archive").to_pylist():
+            rows = _places(path)
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            columns = list(zip(*rows)) if rows else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["archive", "offset", "length", "stop"])
+
+
+def _places(path: str) -> list[tuple[str, int, int, int | None]]:
+    """The records of an archive that its indexes list, and ranges of what they don't, with the end of the stretch."""
+    file, read = _open(path)
+    with file:
+        found = members(read, file.size())
+        archives = {n: stored_range(read, m) for n, m in found.items() if n.startswith("archive/") and n.endswith(".warc.gz")}
+        other = [n for n in found if n.startswith("archive/") and not n.endswith("/") and n not in archives]
+        if other:
+            raise ValueError(f"{path} holds records that are not in a .warc.gz member: {', '.join(sorted(other))}")
+        names = {n.removeprefix("archive/"): n for n in archives}
+        listed: dict[str, dict[int, int]] = {n: {} for n in archives}
+        for name in sorted(n for n in found if n.startswith("indexes/") and not n.endswith("/")):
+            for at, offset, length in parse_index(read(*stored_range(read, found[name])), list(names)) if names else ():
+                member = names.get(at.removeprefix("archive/"))
+                if member and 0 < length and offset + length <= archives[member][1]:
+                    listed[member][offset] = length
+    rows: list[tuple[str, int, int, int | None]] = []
+    for member, (origin, size) in sorted(archives.items()):
+        end = 0
+        for offset, length in [*sorted(listed[member].items()), (size, 0)]:
+            for start in range(end, offset, RANGE):
+                rows.append((path, origin + start, min(RANGE, offset - start), origin + offset))
+            if length:
+                rows.append((path, origin + offset, length, None))
+            end = max(end, offset + length)
+    return rows
+
+
+def _scan(batches):
+    """The records that begin in each range. The last one may end beyond it."""
+    for batch in batches:
+        rows = []
+        for path, offset, length, stop in zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length", "stop"))):
             file, read = _open(path)
             with file:
-                found = members(read, file.size())
-                origin, _ = stored_range(read, found[RECORDS])
-                lines = read(*stored_range(read, found[INDEX])).split(b"\n")
-            places = [tuple(map(int, line.split())) for line in lines if line]
-            columns = [[path] * len(places), [origin + p[0] for p in places], [p[1] for p in places]]
-            types = [pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["archive", "offset", "length"])
+                rows += [(path, at, size) for at, size in _records_in(read, offset, offset + length, stop)]
+        types = [pa.string(), pa.int64(), pa.int64()]
+        columns = list(zip(*rows)) if rows else [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["archive", "offset", "length"])
+
+
+def _records_in(read, start: int, end: int, stop: int):
+    """(offset, length) of the records that begin from ``start`` on and before ``end``, and end before ``stop``."""
+    at = start
+    while at < end:
+        # a record's first bytes may lie across the end of a read
+        block = read(at, min(READ, stop - at))
+        here = block.find(GZIP)
+        if here < 0:
+            at += max(len(block) - len(GZIP) + 1, 1)
+            continue
+        at += here
+        if at >= end:
+            return
+        size = _record_length(read, at, stop)
+        if size:
+            yield at, size
+        at += size or 1
+
+
+def _record_length(read, at: int, stop: int) -> int:
+    """The bytes of the gzipped WARC record at a place, 0 if there is none."""
+    unpack, done, head = zlib.decompressobj(31), 0, b""
+    try:
+        while not unpack.eof:
+            data = read(at + done, min(1 << 16 if not done else 1 << 20, stop - at - done))
+            if not data:
+                return 0
+            done += len(data)
+            while data and not unpack.eof:
+                part = unpack.decompress(data, 1 << 20)
+                head = head or part[:5]
+                if head and not b"WARC/".startswith(head[:5]):
+                    return 0
+                data = unpack.unconsumed_tail
+        return done - len(unpack.unused_data)
+    except zlib.error:
+        return 0
 
 
 RECORD = (
@@ -214,15 +328,17 @@ RECORD = (
 
 
 def read_records(archives: DataFrame) -> DataFrame:
-    """Every record of the archives, whatever their number and size.
+    """Every record of the archives, of whatever type, number and size.
 
-    ``payload_bytes`` is the length of the full payload also for a revisit, whose ``payload`` is null. A payload that does
-    not have its digest or its length is an error.
+    ``archives`` needs the column ``archive`` only. ``payload`` is the body of an HTTP message, or the whole block of a record
+    that holds none; a revisit has none, and its ``payload_bytes`` is the length of the full payload where its header tells it.
+    A payload that does not have the SHA-1 digest its record gives is an error, unless it was sent in chunks, and so is one
+    of another length than its header says in an archive of ours.
     """
-    lines = index_lines(archives)
-    slabs = archives.agg(F.sum(F.greatest(F.lit(1), F.col("records") / 4096))).first()[0] or 1
+    lines = cut(index_lines(archives))
+    slabs = -(-lines.count() // LINES)
     # neighbours are read together; a number is given as these lines are few bytes for much to read
-    lines = lines.repartition(max(1, int(slabs)), "archive", F.floor(F.col("offset") / ARCHIVE))
+    lines = lines.repartition(max(1, slabs), "archive", F.floor(F.col("offset") / ARCHIVE))
     return lines.sortWithinPartitions("archive", "offset").mapInArrow(_read_records, RECORD)
 
 
@@ -253,7 +369,7 @@ def _read_records(batches):
 
 def _fields(head: bytes) -> dict[str, str]:
     lines = (line.partition(b":") for line in head.split(b"\r\n")[1:] if line)
-    return {k.strip().decode().lower(): v.strip().decode() for k, _, v in lines}
+    return {k.strip().decode("utf-8", "replace").lower(): v.strip().decode("utf-8", "replace") for k, _, v in lines}
 
 
 def parse(data: bytes):
@@ -261,13 +377,22 @@ def parse(data: bytes):
     raw = zlib.decompress(data, 31)
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = _fields(head)
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size, mark = int(_fields(http)["content-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
-    whole = fields["warc-type"] == "response"
-    if whole and (len(payload) != size or digest(payload) != mark):
-        raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
+    kind, block = fields["warc-type"], rest[: int(fields["content-length"])]
+    http, payload = {}, block
+    if fields.get("content-type", "").startswith("application/http"):
+        first, _, payload = block.partition(b"\r\n\r\n")
+        http = _fields(first)
+    size, mark = http.get("content-length", ""), fields.get("warc-payload-digest")
+    size = int(size) if size.isdigit() else None
+    whole = kind != "revisit"
+    if whole:
+        ours = fields.get("warc-record-id", "").startswith("<urn:page:")
+        sha1 = mark.removeprefix("sha1:") if mark and mark.startswith("sha1:") else None
+        wrong = sha1 is not None and "transfer-encoding" not in http and sha1.upper() != digest(payload)
+        if wrong or ours and len(payload) != size:
+            raise ValueError(f"the payload of {fields.get('warc-record-id')} is damaged")
+        size = len(payload)
     return (
-        fields["warc-record-id"], fields["warc-type"], fields.get("warc-target-uri"), fields.get("warc-refers-to"),
-        mark, size, payload if whole else None,
+        fields.get("warc-record-id"), kind, fields.get("warc-target-uri"), fields.get("warc-refers-to"),
+        mark and mark.removeprefix("sha1:"), size, payload if whole else None,
     )

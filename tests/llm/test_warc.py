@@ -127,3 +127,80 @@ def test_only_ranges_are_read(spark, tmp_path):
     archives = spark.createDataFrame([(str(path), 2)], "archive string, records long")
     got = warc.read_records(archives).orderBy("offset").collect()
     assert [bytes(r.payload) for r in got] == payloads
+
+
+def packed(*lines, block=b"", kind="response", **fields):
+    """A gzipped record as other writers make them."""
+    import zlib
+
+    names = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{len(block)}-{kind}>", **{k.replace("_", "-"): v for k, v in fields.items()}}
+    head = "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in names.items()) + f"Content-Length: {len(block)}\r\n\r\n"
+    press = zlib.compressobj(wbits=31)
+    return press.compress(head.encode() + block + b"\r\n\r\n") + press.flush()
+
+
+def foreign():
+    """Records of every type."""
+    page = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    plain = b"HTTP/1.1 200 OK\r\n\r\n" + random.Random(1).randbytes(3000)
+    kind = {"Content_Type": "application/http; msgtype=response"}
+    return [
+        packed(kind="warcinfo", block=b"software: other\r\n", Content_Type="application/warc-fields"),
+        packed(kind="request", block=b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        packed(block=page, WARC_Payload_Digest="sha1:AAAA", **kind),
+        packed(block=plain, WARC_Payload_Digest="sha1:" + warc.digest(plain.partition(b"\r\n\r\n")[2]), **kind),
+        packed(kind="metadata", block=b"", Content_Type="text/plain"),
+        packed(kind="resource", block=b"\x1f\x8b\x08 no record" * 40, Content_Type="image/png"),
+        packed(kind="revisit", block=b"HTTP/1.1 200 OK\r\n\r\n", WARC_Payload_Digest="sha256:ff", **kind),
+    ]
+
+
+def ends(records):
+    return [sum(map(len, records[: i + 1])) for i in range(len(records))]
+
+
+def indexed(form, name, records, wanted):
+    starts = [0, *ends(records)]
+    rows = [(starts[i], len(records[i])) for i in wanted]
+    if form == "cdxj":
+        return "".join(f'a,b)/ 2020 {{"url": "http://b/", "filename": "{name}", "offset": "{o}", "length": "{n}"}}\n' for o, n in rows)
+    if form == "cdx":
+        return " CDX N b a m s k r M S V g\n" + "".join(f"a,b)/ 2020 http://b/ text/html 200 AAA - - {n} {o} {name}\n" for o, n in rows)
+    return "".join(f"{o} {n}\n" for o, n in rows)
+
+
+KINDS = ["warcinfo", "request", "response", "response", "metadata", "resource", "revisit"]
+
+
+@pytest.mark.parametrize("form", ["cdxj", "cdx", "plain", "none", "part", "packed"])
+@pytest.mark.parametrize("length", [50, 1 << 20])
+def test_any_index_and_any_record(spark, tmp_path, monkeypatch, form, length):
+    """All records come back, whether an index lists them, some of them or none, and wherever ranges are cut."""
+    monkeypatch.setattr(warc, "RANGE", length)
+    records, names = foreign(), {"datapackage.json": "{}"}
+    names["archive/x.warc.gz"] = b"".join(records)
+    if form in ("cdxj", "cdx", "plain"):
+        names["indexes/a.cdxj"] = indexed(form, "x.warc.gz", records, range(7))
+    elif form != "none":
+        text = indexed("cdxj", "x.warc.gz", records, [2, 3, 6])
+        names["indexes/a.cdx.gz"] = __import__("gzip").compress(text.encode()) if form == "packed" else text
+    path = tmp_path / "other.wacz"
+    path.write_bytes(made(names))
+    got = warc.read_records(spark.createDataFrame([(str(path),)], "archive string")).orderBy("offset").collect()
+    assert [r.record_type for r in got] == KINDS
+    assert [r.payload is None for r in got] == [k == "revisit" for k in KINDS]
+    assert bytes(got[0].payload) == b"software: other\r\n" and bytes(got[4].payload) == b"" and got[6].payload_bytes is None
+    assert got[3].payload_bytes == 3000
+
+
+def test_several_members_with_one_index(spark, tmp_path):
+    one, two = foreign()[:4], foreign()[4:]
+    names = {"archive/x.warc.gz": b"".join(one), "archive/y.warc.gz": b"".join(two), "archive/empty.warc.gz": b""}
+    names["indexes/index.cdxj"] = indexed("cdxj", "x.warc.gz", one, range(4)) + indexed("cdxj", "y.warc.gz", two, [1])
+    path = tmp_path / "other.wacz"
+    path.write_bytes(made(names))
+    got = warc.read_records(spark.createDataFrame([(str(path),)], "archive string")).orderBy("offset").collect()
+    assert [r.record_type for r in got] == KINDS
+    path.write_bytes(made({**names, "archive/z.warc": b"WARC/1.0"}))
+    with pytest.raises(Exception, match="not in a .warc.gz member: archive/z.warc"):
+        warc.read_records(spark.createDataFrame([(str(path),)], "archive string")).collect()
