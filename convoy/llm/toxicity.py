@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ LOOK_ALIKES = {
 # Characters that show nothing.
 INVISIBLE = "\u00ad\u034f\u200b\u200c\u200d\u2060\ufeff"
 
-#: Lengths of word starts that may become lexicon entries.
-STARTS = range(4, 13)
+#: Lengths of word starts that may become lexicon entries, and of whole words at most; longer ones count by their starts.
+STARTS, WORD = range(4, 13), 64
 #: Counts a Python worker holds before it passes them on.
 HELD = 200_000
 
@@ -95,7 +96,15 @@ class Matcher:
                 spared.append((start, end))
             elif start not in best or best[start][0] < value[0]:
                 best[start] = value
-        return [(s, w) for s, (_, w) in sorted(best.items()) if not any(a <= s < b for a, b in spared)]
+        spared.sort()
+        found, reach, next_spared = [], -1, 0
+        for start, (_, weight) in sorted(best.items()):
+            while next_spared < len(spared) and spared[next_spared][0] <= start:
+                reach = max(reach, spared[next_spared][1])
+                next_spared += 1
+            if start >= reach:
+                found.append((start, weight))
+        return found
 
     def weigh(self, text: str | None) -> tuple[int, float, int]:
         """Hits, their weight, and the number of words."""
@@ -119,13 +128,15 @@ def toxicity(text: Column, model: Model) -> Column:
     A null or empty text has no hits and gets the score of a text without any. Equal texts get equal scores.
     """
 
-    @F.pandas_udf("score double, hits int, weight double, words int")
-    def weighed(batches: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("score double, hits int, weight double, words int")
+    def weighed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(model)
-        rows = [matcher.weigh(t) for t in batches]
-        return pd.DataFrame(
-            [(matcher.score(w, n), h, w, n) for h, w, n in rows], columns=["score", "hits", "weight", "words"]
-        ).astype({"score": "float64", "hits": "int32", "weight": "float64", "words": "int32"})
+        for texts in batches:
+            rows = [matcher.weigh(text.as_py()) for text in texts]
+            hits, weights, words = zip(*rows) if rows else ((), (), ())
+            scores = [matcher.score(w, n) for _, w, n in rows]
+            arrays = [pa.array(scores, pa.float64()), pa.array(hits, pa.int32()), pa.array(weights, pa.float64()), pa.array(words, pa.int32())]
+            yield pa.StructArray.from_arrays(arrays, ["score", "hits", "weight", "words"])
 
     return weighed(text)
 
@@ -209,7 +220,7 @@ def _patterns(batches):
     for batch in batches:
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             words = set(fold(text, folds))
-            found = {(label, f" {w} ") for w in words}
+            found = {(label, f" {w} ") for w in words if len(w) <= WORD}
             found.update((label, f" {w[:n]}") for w in words for n in STARTS if n <= len(w))
             seen.update(found)
             if len(seen) > HELD:
@@ -224,14 +235,13 @@ def _pairs(model, batches):
     for batch in batches:
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             words = fold(text, matcher.folds)
-            found = set()
-            folded = f" {' '.join(words)} "
-            for place, _ in matcher.hits(folded) if words else ():
-                before, after = folded[:place].rsplit(" ", 1), folded[place + 1 :].split(" ", 2)
-                if before[-1]:
-                    found.add((label, f"{before[-1]} {after[0]}"))
-                if len(after) > 1 and after[1]:
-                    found.add((label, f"{after[0]} {after[1]}"))
+            found, places = set(), {}
+            for i, at in enumerate(accumulate((len(w) + 1 for w in words), initial=0)):
+                places[at] = i
+            for at, _ in matcher.hits(f" {' '.join(words)} ") if words else ():
+                i = places[at]
+                near = [(words[j], words[j + 1]) for j in (i - 1, i) if 0 <= j < len(words) - 1]
+                found.update((label, f"{a} {b}") for a, b in near if len(a) <= WORD and len(b) <= WORD)
             seen.update(found)
             if len(seen) > HELD:
                 yield _counts(seen)
@@ -276,7 +286,7 @@ def _held(rated, batches):
         found = []
         for text in batch.column("text").to_pylist():
             words = set(fold(text, folds))
-            patterns = {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in STARTS if n <= len(w)}
+            patterns = {f" {w} " for w in words if len(w) <= WORD} | {f" {w[:n]}" for w in words for n in STARTS if n <= len(w)}
             found.append(sorted(place[p] for p in patterns & place.keys()))
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.int32()))], ["label", "places"])
 
