@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import sys
+import unicodedata
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -18,14 +20,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from convoy.llm.common import cut
+
 #: Lengths of n-grams, longest first.
 LENGTHS = (5, 4, 3, 2, 1)
 #: Counts a worker holds before it passes them on, and words whose scores it remembers.
 HELD, REMEMBERED = 300_000, 200_000
-WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
+def _class(kind: str) -> str:
+    """All characters of a general category, as the inside of a character class."""
+    ranges: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(code))[0] == kind:
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+_LETTERS, _MARKS = _class("L"), _class("M")
+#: A letter and what letters and marks follow it. Numerals are no letters.
+WORD = re.compile(f"[{_LETTERS}][{_LETTERS}{_MARKS}]*")
+
+
 def _none() -> np.ndarray:
     return np.zeros((0, 0))
 
@@ -53,48 +73,67 @@ def _grams(word: str, n: int) -> list[str]:
 
 def learn(
     docs: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     max_rows: int = 20_000,
-    max_words: int = 100_000,
-    max_grams: int = 100_000,
+    max_words: int = 50_000,
+    max_grams: int = 25_000,
 ) -> Model:
     """Learn a model from texts of known language.
 
-    Of each language about ``max_rows`` rows are used at most, chosen by a hash of the text; null texts and languages are
-    left out. The ``max_words`` most frequent words and the ``max_grams`` most frequent n-grams of each length, over all
-    languages, make the model. Without rows the model knows no language.
+    Of each language about ``max_rows`` rows are used at most, chosen by a hash of the id, or of the text where that is null;
+    null texts and languages are left out. Of every language all words from the count on from which there are at most
+    ``max_words`` make the model, and for each length all n-grams from which there are at most ``max_grams``; so a small
+    language keeps its words beside a large one. Without rows the model knows no language.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    chosen_by = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)))
+    known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), chosen_by.alias("place"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model()
     languages = tuple(sorted(counts))
     share = F.coalesce(*[F.when(F.col("lang") == lang, max_rows / counts[lang]) for lang in languages])
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    sample = known.where(F.pmod("place", F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
     tokens = sample.mapInArrow(_counts, "size int, token string, lang string, n long")
     by_lang = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages)]
-    table = tokens.groupBy("size", "token").agg(F.sum("n").alias("n"), *by_lang).where("n > 1")
-    # the tops of all lengths in one pass: a token's place among those of its length decides
-    tops = None
-    table = table.persist()
-    try:
-        for size in (0, *LENGTHS):
-            top = table.where(F.col("size") == size).orderBy(F.desc("n"), "token").limit(max_grams if size else max_words)
-            tops = top if tops is None else tops.unionByName(top)
-        rows = tops.collect()
-    finally:
-        table.unpersist()
-    counted = {size: [r for r in rows if r["size"] == size] for size in (0, *LENGTHS)}
-    logs = {size: _logarithms(part, len(languages)) for size, part in counted.items()}
-    grams = tuple(r["token"] for size in LENGTHS for r in counted[size])
-    words = tuple(r["token"] for r in counted[0])
-    return Model(languages, words, logs[0], grams, np.concatenate([logs[size] for size in LENGTHS]))
-
-
-def _logarithms(rows, languages: int, prior: float = 0.5) -> np.ndarray:
-    counts = np.array([[r[f"n{i}"] for i in range(languages)] for r in rows], float).reshape(-1, languages) + prior
+    table = cut(tokens.groupBy("size", "token").agg(*by_lang))
+    wanted = F.lit(False)
+    for size in (0, *LENGTHS):
+        least = _least(table.where(F.col("size") == size), len(languages), max_grams if size else max_words)
+        enough = [F.col(f"n{i}") >= n for i, n in enumerate(least)]
+        wanted = wanted | ((F.col("size") == size) & F.greatest(*enough, F.lit(False)))
+    kept = table.where(wanted).toArrow().to_pandas().sort_values(["size", "token"], kind="stable")
+    columns = [f"n{i}" for i in range(len(languages))]
+    parts = {size: kept[kept["size"] == size] for size in (0, *LENGTHS)}
+    logs = {size: _logarithms(part[columns].to_numpy(float)) for size, part in parts.items()}
+    grams = tuple(token for size in LENGTHS for token in parts[size]["token"])
+    return Model(languages, tuple(parts[0]["token"]), logs[0], grams, np.concatenate([logs[size] for size in LENGTHS]))
+
+
+def _least(counts: DataFrame, languages: int, most: int) -> list[int]:
+    """For every language the least count, above zero, that at most ``most`` tokens reach, from how many have each count."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("lang"), F.col(f"n{i}").alias("n")) for i in range(languages)]))
+    levels = counts.select(pairs.alias("p")).where("p.n > 0").groupBy("p.lang", "p.n").agg(F.count(F.lit(1)).alias("tokens"))
+    found = defaultdict(list)
+    for row in levels.collect():
+        found[row["lang"]].append((row["n"], row["tokens"]))
+    least = []
+    for i in range(languages):
+        total, bound = 0, None
+        for n, tokens in sorted(found[i], reverse=True):
+            total += tokens
+            if total > most:
+                break
+            bound = n
+        # if even the most frequent are too many, those above them: none
+        least.append(bound if bound is not None else 1 + max((n for n, _ in found[i]), default=0))
+    return least
+
+
+def _logarithms(counts: np.ndarray, prior: float = 0.5) -> np.ndarray:
+    counts = counts + prior
     return np.log(counts / counts.sum(axis=0))
 
 

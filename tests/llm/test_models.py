@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 import textwrap
+import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,7 +144,7 @@ def test_language_without_rows(spark):
 
 def test_model_is_bounded(spark):
     model = langid.learn(languages(spark), max_words=5, max_grams=7)
-    assert len(model.words) <= 5 and len(model.grams) <= 7 * len(langid.LENGTHS)
+    assert len(model.words) <= 3 * 5 and len(model.grams) <= 3 * 7 * len(langid.LENGTHS)
 
 
 def test_licenses(spark):
@@ -214,3 +217,104 @@ def test_windows_against_all_runs_of_words():
                     if dice >= 0.7:
                         want[name] = max(want.get(name, 0), dice)
         assert scanner.scan(draw.choice(" \n").join(words)) == sorted(want.items(), key=lambda b: (-b[1], b[0]))
+
+
+def naive_hits(model, text):
+    """Hits by trying every entry at every place."""
+    folded = f" {' '.join(toxicity.fold(text))} "
+    spared = []
+    for phrase in model.exceptions:
+        p = f" {' '.join(toxicity.fold(phrase))} "
+        spared += [(i, i + len(p) - 1) for i in range(len(folded)) if p.strip() and folded.startswith(p, i)]
+    found = []
+    for i in range(len(folded)):
+        at = [e for e in model.weights if folded.startswith(e, i)]
+        if at and not any(a <= i < b for a, b in spared):
+            found.append((i, model.weights[max(at, key=len)]))
+    return found
+
+
+def test_hits_are_those_of_a_naive_search():
+    draw = random.Random(9)
+    words = ["ab", "abc", "abca", "bc", "cab", "a", "b-c", "ABC", "c4b"]
+    for _ in range(300):
+        entries = {f" {draw.choice(words[:5])}{draw.choice(['', ' '])}": draw.random() for _ in range(4)}
+        phrases = tuple(" ".join(draw.choice(words) for _ in range(draw.randrange(1, 4))) for _ in range(3))
+        model = toxicity.Model(entries, phrases)
+        text = " ".join(draw.choice(words) for _ in range(draw.randrange(40)))
+        folded = f" {' '.join(toxicity.fold(text))} "
+        assert toxicity.Matcher(model).hits(folded) == naive_hits(model, text), (entries, phrases, text)
+
+
+def test_a_text_of_megabytes_takes_seconds():
+    """Exception phrases and hits all over a long text, and words of any length around them."""
+    text = "trash can trash " * 300_000 + "idiot " * 20_000 + "x" * 500_000
+    start = time.perf_counter()
+    hits, weight, words = toxicity.Matcher(MODEL).weigh(text)
+    assert (hits, words) == (320_000, 920_001) and weight == 660_000
+    batch = pa.RecordBatch.from_pydict({"label": pa.array([1], pa.int32()), "text": [text]})
+    pairs = {r for b in toxicity._pairs(MODEL, [batch]) for r in b.column("pattern").to_pylist()}
+    assert pairs == {"can trash", "trash trash", "trash idiot", "idiot idiot"}
+    assert time.perf_counter() - start < 20
+
+
+def test_what_is_a_word():
+    """Numerals are no letters, and marks belong to the letter before."""
+    assert langid._words("½ ² ① 12 _") == [] and langid._words("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert langid._words("Don't x2y É-É\u0301") == ["don", "t", "x", "y", "é", "é\u0301"]
+    assert langid._words("\u0301 \u0301a") == ["a"] and langid._words(None) == langid._words("") == []
+
+
+def test_texts_without_a_letter_have_no_language(spark):
+    model = langid.learn(languages(spark))
+    rows = docs(spark, list(enumerate(["½ ² ①", "1 2", "\u0301", "a"]))).select("doc_id", langid.language(F.col("text"), model).alias("g"))
+    got = {r.doc_id: r.g.lang for r in rows.collect()}
+    assert [got[i] for i in range(3)] == ["und"] * 3 and got[3] != "und"
+
+
+def test_a_small_language_keeps_its_words_beside_a_large_one(spark):
+    draw = random.Random(4)
+    small = coined(draw, 300, 9)
+    rows = [(i, " ".join(coined(draw, 40, 7)), "large") for i in range(2000)]
+    rows += [(10_000 + i, " ".join(draw.choice(small) for _ in range(30)), "small") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(table, max_words=400, max_grams=400)
+    assert set(small) <= set(model.words)
+
+
+def naive_language(model, text):
+    """The sums of the definition, word by word and n-gram by n-gram."""
+    words = [w for w in langid._words(text)]
+    if not words or not model.languages:
+        return "und", 0.0
+    known, grams = dict(zip(model.words, model.word_logs)), dict(zip(model.grams, model.gram_logs))
+    sums = [0.0] * len(model.languages)
+    for word in words:
+        part = known.get(word)
+        for n in (5, 4, 3, 2, 1) if part is None else ():
+            marked = word if n == 1 else f"<{word}>"
+            found = [grams[marked[i : i + n]] for i in range(len(marked)) if marked[i : i + n] in grams and len(marked[i : i + n]) == n]
+            if found:
+                part = [sum(column) / len(found) for column in zip(*found)]
+                break
+        sums = [s + p for s, p in zip(sums, part if part is not None else [0.0] * len(sums))]
+    scaled = [s / len(words) ** 0.5 for s in sums]
+    best = max(range(len(sums)), key=lambda i: (scaled[i], -i))
+    return model.languages[best], 1 / sum(math.exp(s - scaled[best]) for s in scaled)
+
+
+def test_language_equals_the_definition(spark):
+    table = languages(spark)
+    model = langid.learn(table, max_words=30, max_grams=25)
+    texts = [r.text for r in table.limit(60).collect()] + ["bababebibo kißa", "zzz ñu", "日本", "b k", prose(1, 50), "ba " * 5000]
+    rows = docs(spark, list(enumerate(texts))).select("doc_id", langid.language(F.col("text"), model).alias("g")).collect()
+    for r in rows:
+        lang, score = naive_language(model, texts[r.doc_id])
+        assert r.g.lang == lang and r.g.score == pytest.approx(score, rel=1e-6)
+
+
+def test_rows_are_chosen_by_id(spark):
+    """Copies are not all taken or all left."""
+    table = spark.range(4000).selectExpr("id AS doc_id", "concat('same text ', id DIV 4000) AS text", "'xx' AS lang")
+    model = langid.learn(table, max_rows=400)
+    assert set(model.words) == {"same", "text"}
