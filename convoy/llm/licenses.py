@@ -4,6 +4,9 @@ Every run of words is a window, within a line or over several, up to the whole t
 of ASCII letters and digits. Two bigram bags of sizes a and b can't reach the threshold t unless a/b lies between t/(2-t)
 and (2-t)/t, so a window of a template of size b holds at least b t/(2-t) bigrams of it within b (2-t)/t. The best window
 starts and ends with a bigram of the template; only starts where bigrams lie that dense are looked at.
+
+Of templates whose windows overlap only the best is kept, so that a notice counts for the license it names and not for those
+with similar words.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ TEMPLATES = {
     "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
     "EPL-2.0": "Made available under the terms of the Eclipse Public License 2.0.",
@@ -108,7 +114,11 @@ class Scanner:
                 best[name] = dice
 
     def scan(self, text: str | None) -> list[tuple[str, float]]:
-        """(name, dice) of every template found, the best first, then by name."""
+        """(name, dice) of the best template of every place, the best first, then by name.
+
+        The best window of all is taken, of equal ones that of the largest template, then the first by name, and so is every
+        further place where that template matches as well. What lies between is scanned again for the others.
+        """
         words = LOWER_WORD.findall(text.encode().lower()) if text else []
         if len(words) < 2:
             return []
@@ -116,23 +126,45 @@ class Scanner:
         grams = np.fromiter(map(self.grams.get, pairs, repeat(-1)), np.int64, len(words) - 1)
         places = np.flatnonzero(grams >= 0)
         grams, best = grams[places], {}
-        for fewest, most, size, name, often in self.wanted:
+        todo = [(0, len(words) - 1, self.wanted)]
+        while todo:
+            low, high, wanted = todo.pop()
+            found = self.matches(places, grams, low, high, wanted)
+            if not found:
+                continue
+            dice, windows, template = min(found, key=lambda f: (-f[0], -f[2][2], f[2][3]))
+            name = template[3]
+            best[name] = max(best.get(name, 0.0), dice)
+            rest = [f[2] for f in found]
+            for first, last in windows:
+                todo.append((low, first, rest))
+                low = last + 1
+            todo.append((low, high, rest))
+        return sorted(best.items(), key=lambda b: (-b[1], b[0]))
+
+    def matches(self, places: np.ndarray, grams: np.ndarray, low: int, high: int, wanted: list) -> list:
+        """(dice, windows, template) of every template found between two places."""
+        first, last = np.searchsorted(places, [low, high])
+        places, grams, found = places[first:last], grams[first:last], []
+        for template in wanted:
+            fewest, most, size, _, often = template
             if len(places) < fewest:
                 break
             times = often[grams]
             held = np.flatnonzero(times)
             if len(held) >= fewest:
-                dice = self.window(places[held], grams[held], times[held], fewest, most, size)
+                dice, windows = self.window(places[held], grams[held], times[held], fewest, most, size)
                 if dice >= self.least:
-                    best[name] = dice
-        return sorted(best.items(), key=lambda b: (-b[1], b[0]))
+                    found.append((dice, windows, template))
+        return found
 
     @staticmethod
-    def window(places: np.ndarray, grams: np.ndarray, times: np.ndarray, fewest: int, most: int, size: int) -> float:
-        """The largest Dice of any window with a template, whose bigrams lie at ``places`` and occur ``times`` in it."""
+    def window(places: np.ndarray, grams: np.ndarray, times: np.ndarray, fewest: int, most: int, size: int):
+        """The largest Dice of any window with a template, whose bigrams lie at ``places`` and occur ``times`` in it, and the
+        (first, last) bigrams of the windows that have it, from the left and without overlap."""
         starts = np.flatnonzero(places[fewest - 1 :] - places[: len(places) - fewest + 1] < most)
         if not len(starts):
-            return 0.0
+            return 0.0, []
         # an occurrence counts in windows that start after the one that lies ``times`` of the same bigram before it
         order = np.argsort(grams, kind="stable")
         grouped = grams[order]
@@ -142,18 +174,25 @@ class Scanner:
         stops = np.searchsorted(places, places[starts] + most)
         reach = np.minimum(stops - starts, size)
         reach = 2 * reach / (reach + size)
-        best = 0.0
+        best, windows = 0.0, []
         for start, stop, bound in zip(starts.tolist(), stops.tolist(), reach.tolist()):
-            if bound > best:
-                shared = np.cumsum(spent[start:stop] < start)
-                best = max(best, float((2 * shared / (places[start:stop] - places[start] + 1 + size)).max()))
-        return best
+            if bound < best or windows and bound == best and places[start] <= windows[-1][1]:
+                continue
+            shared = np.cumsum(spent[start:stop] < start)
+            dice = 2 * shared / (places[start:stop] - places[start] + 1 + size)
+            top = int(dice.argmax())
+            if dice[top] >= best:
+                if dice[top] > best:
+                    best, windows = float(dice[top]), []
+                if not windows or places[start] > windows[-1][1]:
+                    windows.append((int(places[start]), int(places[start + top])))
+        return best, windows
 
 
 def licenses(text: Column, templates: Mapping[str, str] | None = None, least: float = LEAST) -> Column:
     """An array of struct (license string, dice double) for every text: the templates found in it, best first.
 
-    A template counts with its best window and only from ``least`` on, also where another one matches the same place better.
+    A template counts with its best window, only from ``least`` on, and only where no other one matches the same place better.
     Null and empty texts, and templates of under two words, are never found. Without ``templates`` they are those of
     ``templates_and_texts``.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from convoy.llm.licenses import TEMPLATES
+from convoy.llm.licenses import templates_and_texts
 
 
 DECONTAMINATION = r"""
@@ -113,10 +113,17 @@ template_gram AS (
         FROM template_word WHERE len(w) > 1) GROUP BY ALL
 ),
 dice AS (
-  SELECT doc_id, u, name, CAST(2 * sum(least(p.n, q.n)) AS DOUBLE) / (p.size + q.size) AS d
+  SELECT doc_id, u, name, q.size AS size, CAST(2 * sum(least(p.n, q.n)) AS DOUBLE) / (p.size + q.size) AS d
   FROM part_gram p JOIN template_gram q USING (g) GROUP BY doc_id, u, name, p.size, q.size
 ),
-found AS (SELECT doc_id, name, max(d) AS d FROM dice WHERE d >= 0.8 GROUP BY doc_id, name),
+-- the best template of every line, and of the whole text where that beats all its lines
+place AS (
+  SELECT * FROM dice WHERE d >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, u ORDER BY d DESC, size DESC, name) = 1
+),
+top AS (SELECT doc_id, u FROM place QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d DESC, size DESC, name, u DESC) = 1),
+found AS (
+  SELECT p.doc_id, name, max(d) AS d FROM place p JOIN top t USING (doc_id) WHERE (t.u = 0) = (p.u = 0) GROUP BY p.doc_id, name
+),
 best AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d DESC, name) = 1)
 SELECT doc_id, name AS license, d AS dice, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses FROM documents LEFT JOIN best USING (doc_id)
 """
@@ -151,7 +158,7 @@ FROM score WHERE score > 0 QUALIFY rank <= 10
 
 def oracle_sql() -> dict[str, str]:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    templates = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in TEMPLATES.items())
+    templates = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in templates_and_texts().items())
     return {
         "op2_licenses": LICENSES.replace("@TEMPLATES@", templates),
         "op3_warc": WARC,
