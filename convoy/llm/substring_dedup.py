@@ -4,6 +4,9 @@ The minimiser of a window is the run of ``K`` words in it with the smallest hash
 together, as one packed string of words, to the bucket of their minimiser; equal windows have equal minimisers, so all
 occurrences of a window meet there and are sorted. Windows are compared by hash first and then word by word.
 
+A bucket that gets too much text, since a run of words is common among different ones, is dealt anew, window by window, by the
+hash of the whole window.
+
 A task packs some megabytes of text at a time. Of equal strings in it only those of the smallest document travel on: in the
 others every window is already known to be a repeat. So however often a passage occurs, its bucket gets it once a pack.
 """
@@ -20,25 +23,33 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import fresh, input_bytes
+from convoy.llm.common import cut, fresh, input_bytes
 
 #: Words of a minimiser.
 K = 3
 #: Bytes of text packed at a time, and of packed strings that a bucket should get.
 PACK, BUCKET = 8 << 20, 12 << 20
+#: Bytes of strings from which a bucket is dealt anew.
+SPLIT = 24 << 20
 #: Compression of packs and of texts on their way through a shuffle.
 LEVEL, TEXT_LEVEL = 9, 3
 # Odd multipliers that mix hashes.
 MIX_A, MIX_B, MIX_C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 SPANS = "id long, text_hash long, start int, stop int"
+MET = pa.schema(
+    [("id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("bucket", pa.int32()), ("pack", pa.binary())]
+)
 
 
-def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT
+) -> DataFrame:
     """Stretches of words that repeat, as (id, text_hash, start, stop), counting words from 0.
 
     A word is a run without ASCII white space, unchanged. A window is ``window`` words in a row of one text; it is a repeat
     where a document with a smaller id holds the same words. Stretches may overlap. Null texts have no words. Rows with a
-    null id neither repeat nor are repeated. Rows that share an id are no repeats of each other.
+    null id neither repeat nor are repeated. Rows that share an id are no repeats of each other. A bucket of over ``split``
+    bytes of strings is dealt anew by whole windows.
     """
     size, _ = input_bytes(docs, text_col)
     k = min(K, window)
@@ -47,16 +58,22 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
     )
     packed = source.mapInArrow(partial(_pack_batches, window, k, buckets), "bucket int, known boolean, pack binary")
-    return packed.groupBy("bucket").applyInArrow(lambda packs: _count_bucket(window, packs), SPANS)
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    met = cut(ordered.mapInArrow(partial(_meet, window, split, buckets), f"{SPANS}, bucket int, pack binary"))
+    anew = met.where("pack IS NOT NULL").select("bucket", F.lit(False).alias("known"), "pack")
+    anew = anew.groupBy("bucket").applyInArrow(lambda packs: _count_bucket(window, packs), SPANS)
+    return met.where("pack IS NULL").select("id", "text_hash", "start", "stop").unionByName(anew)
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT
+) -> DataFrame:
     """``docs`` with a struct column ``dedup`` (n_words int, n_removed int, kept string) for every row.
 
     Every word inside a repeated window is removed, as judged on the input. ``kept`` joins the other words by one space.
     The name of the column is lengthened by underscores if ``docs`` has it.
     """
-    spans = repeated_spans(docs, window, id_col, text_col)
+    spans = repeated_spans(docs, window, id_col, text_col, split)
     spans = spans.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     names = {c: fresh(docs, c) for c in spans.columns}
     spans = spans.select(*[F.col(c).alias(n) for c, n in names.items()])
@@ -228,25 +245,91 @@ def _merged(owner, begin, end):
     return owner[at], begin[at], stop - owner[at] * (1 << 40)
 
 
+def _meet(window, split, parts, batches):
+    """Repeats among the strings of every bucket, one after the other, and the windows of those with too much text as packs of
+    their own, to be dealt anew."""
+    unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=LEVEL)
+    current, held, size = None, [], 0
+    for batch in batches:
+        for bucket, known, blob in zip(*(batch.column(c) for c in ("bucket", "known", "pack"))):
+            if bucket.as_py() != current:
+                if held and size <= split:
+                    yield _spans(*_among(held, window))
+                current, held, size = bucket.as_py(), [], 0
+            frame = _unframed(blob.as_py(), unpress)
+            if known.as_py():
+                yield _spans(*frame[:4])
+                continue
+            held.append(frame)
+            size += len(frame[4])
+            if size > split:
+                for part in held:
+                    yield from _dealt_anew(part, window, parts, press)
+                held = []
+    if held and size <= split:
+        yield _spans(*_among(held, window))
+
+
+def _spans(ids, marks, starts, stops) -> pa.RecordBatch:
+    n = len(ids)
+    columns = [pa.array(ids), pa.array(marks), pa.array(starts.astype(np.int32)), pa.array(stops.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=MET)
+
+
+def _dealt_anew(frame, window, parts, press):
+    """The windows of a pack as strings, a pack for each bucket that the hash of the whole window gives."""
+    ids, marks, begin, string, text = frame
+    starts, ends, first = _places(text)
+    of_word = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(starts)]))))
+    hashes = _rolled(_word_hashes(text.split()), window)
+    at = np.flatnonzero(of_word[: len(hashes)] == of_word[window - 1 : window - 1 + len(hashes)])
+    bucket = ((hashes[at] * MIX_C) >> np.uint64(33)) % np.uint64(parts)
+    claims: dict[int, list[int]] = {}
+    for i, s in enumerate(string.tolist()):
+        claims.setdefault(s, []).append(i)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64))) + 1
+    for part in np.split(order, cuts) if len(order) else ():
+        numbers: dict[tuple[int, bytes], int] = {}
+        rows = []
+        for word in at[part].tolist():
+            s = int(of_word[word])
+            own = claims[s]  # all of one id, which keeps equal windows of other ids apart
+            place = numbers.setdefault((int(ids[own[0]]), text[starts[word] : ends[word + window - 1]]), len(numbers))
+            rows += [(i, word - int(first[s]), place) for i in own]
+        picked, shift, place = (np.array(c, np.int64) for c in zip(*rows))
+        body = b"\n".join(name for _, name in numbers)
+        blob = _frame(ids[picked], marks[picked], begin[picked] + shift, place, press=press, body=body)
+        row = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*row, pa.array([int(bucket[part[0]])], pa.int32()), pa.array([blob], pa.binary())], schema=MET)
+
+
 def _count_bucket(window, table: pa.Table) -> pa.Table:
     """Repeats among the strings of a bucket, and those that the packs have found."""
-    press = zstandard.ZstdDecompressor()
-    found, bodies, claims, strings = [], [], [], 0
+    press, found, held = zstandard.ZstdDecompressor(), [], []
     for known, blob in zip(table.column("known").to_pylist(), table.column("pack")):
-        ids, marks, a, b, body = _unframed(blob.as_py(), press)
+        frame = _unframed(blob.as_py(), press)
         if known:
-            found.append((ids, marks, a, b))
+            found.append(frame[:4])
         else:
-            bodies.append(body)
-            claims.append((ids, marks, a, b + strings))
-            strings += body.count(b"\n") + 1
-    if claims:
-        found.append(_repeats(b"\n".join(bodies), [np.concatenate(c) for c in zip(*claims)], strings, window))
+            held.append(frame)
+    if held:
+        found.append(_among(held, window))
     ids, marks, a, b = (np.concatenate(c) for c in zip(*found))
     columns = [pa.array(c) for c in (ids, marks, a.astype(np.int32), b.astype(np.int32))]
     return pa.table(columns, ["id", "text_hash", "start", "stop"])
 
 
+def _among(frames, window):
+    """Repeats among the strings of some packs."""
+    bodies, claims, strings = [], [], 0
+    for ids, marks, a, b, body in frames:
+        bodies.append(body)
+        claims.append((ids, marks, a, b + strings))
+        strings += body.count(b"\n") + 1
+    return _repeats(b"\n".join(bodies), [np.concatenate(c) for c in zip(*claims)], strings, window)
+
+
 def _repeats(text, claims, strings, window):
     ids, marks, begin, string = claims
     owner = np.zeros(strings, np.int64)

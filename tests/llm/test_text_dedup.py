@@ -59,6 +59,38 @@ def test_substring_dedup_decides_by_words(spark, monkeypatch):
     assert got == sorted((i, n) for i, _, n, _ in brute_words(ids))
 
 
+@pytest.mark.parametrize("split", [1, 3000])
+def test_buckets_dealt_anew_give_the_same(spark, monkeypatch, split):
+    monkeypatch.setattr(substring_dedup, "PACK", 3000)
+    rows = awkward() + [(50 + i, f"{prose(i % 40, 20)} {prose(7, 14)} {prose(i, 20)}") for i in range(120)]
+    assert words_of(docs(spark, rows).repartition(3), split=split) == brute_words(rows)
+
+
+def test_a_common_run_of_words_is_split():
+    """A run with a very low hash among different words draws a window of every text into one bucket."""
+    import numpy as np
+    import pyarrow as pa
+
+    triples = [prose(i, 3) for i in range(4000)]
+    run = min(triples, key=lambda t: int(substring_dedup._rolled(substring_dedup._word_hashes(t.encode().split()), 3)[0]))
+    texts = [f"{prose(9000 + i, 20)} {run} {prose(50_000 + i, 20)}" for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"id": range(3000), "text_hash": range(3000), "text": texts})
+    packs = pa.Table.from_batches(list(substring_dedup._pack_batches(13, 3, 64, [batch]))).sort_by("bucket")
+    sizes = {}
+    unpress = substring_dedup.zstandard.ZstdDecompressor()
+    for bucket, known, blob in zip(*(packs.column(c).to_pylist() for c in ("bucket", "known", "pack"))):
+        sizes[bucket] = sizes.get(bucket, 0) + (0 if known else len(substring_dedup._unframed(blob, unpress)[4]))
+    hot = max(sizes, key=sizes.get)
+    limit = 3 * int(np.median(list(sizes.values())))
+    assert sizes[hot] > 3 * limit
+    met = pa.Table.from_batches(list(substring_dedup._meet(13, limit, 64, packs.to_batches())))
+    anew = met.filter(pa.compute.is_valid(met.column("pack")))
+    parts = {}
+    for bucket, blob in zip(anew.column("bucket").to_pylist(), anew.column("pack").to_pylist()):
+        parts[bucket] = parts.get(bucket, 0) + len(substring_dedup._unframed(blob, unpress)[4])
+    assert len(parts) == 64 and max(parts.values()) < 2 * np.median(list(parts.values()))
+
+
 def test_substring_dedup_of_a_hot_passage(spark):
     passage = prose(1, 20)
     rows = [(i, f"{prose(100 + i, 5)} {passage} {prose(500 + i, 6)}") for i in range(300)]
