@@ -9,7 +9,7 @@ from convoy.llm.common import cut
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """The smallest node reachable from every node of ``edges`` (u, v longs), as (node, root).
+    """The smallest node reachable from every node of ``edges`` (u, v of any one type that has an order), as (node, root).
 
     Large and small stars in turn: each step hangs the neighbours of a node below the smallest of them, until the edges
     stay as they are and every tree is a star. A hub's neighbours are never gathered: minima are aggregated and joined

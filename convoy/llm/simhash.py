@@ -263,8 +263,8 @@ def _spanning(i, j, values):
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text"):
     """Groups of near duplicates, as (id, fingerprint long, text_hash long, root long, component_id), a row for every row.
 
-    Two texts are linked if their fingerprints differ in at most ``distance`` bits. ``root`` is the smallest fingerprint of
-    the group and ``component_id`` its smallest id, both over all rows reachable by links. Rows without an id keep their
+    Two texts are linked if their fingerprints differ in at most ``distance`` bits. ``component_id`` is the smallest id of the
+    group, over all rows reachable by links, and ``root`` the fingerprint of that row. Rows without an id keep their
     links; a group of only such rows has a null ``component_id``. Repeated rows stay repeated. An empty table gives an
     empty result.
     """
@@ -272,11 +272,18 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, id_col:
 
 
 def _grouped(marked: DataFrame, distance: int) -> DataFrame:
-    classes = marked.groupBy("fingerprint").agg(F.min("id").alias("first_id"))
-    trees = connected(links(classes, distance)).select(F.col("node").alias("fingerprint"), "root")
-    classes = classes.join(trees, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(smallest, "root")
+    """Fingerprints are ordered by their smallest id, so that the first of a group names the group's smallest id itself."""
+    first = marked.groupBy("fingerprint").agg(F.min("id").cast("long").alias("first_id"))
+    order = F.struct(F.isnull("first_id").alias("nameless"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "fingerprint")
+    classes = cut(first.select("fingerprint", order.alias("node")))
+    edges = links(classes, distance)
+    for end in ("u", "v"):
+        named = classes.select(F.col("fingerprint").alias(end), F.col("node").alias(f"{end}_node"))
+        edges = edges.join(named, end).drop(end)
+    trees = connected(edges.select(F.col("u_node").alias("u"), F.col("v_node").alias("v")))
+    classes = classes.join(trees, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("root"))
+    smallest = F.when(~F.col("root.nameless"), F.col("root.first_id")).alias("component_id")
+    classes = classes.select("fingerprint", F.col("root.fingerprint").alias("root"), smallest)
     return marked.join(classes, "fingerprint").select("id", "fingerprint", "text_hash", "root", "component_id")
 
 
