@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions.numeric import round2
@@ -94,6 +94,41 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The trees of a saved model as a table, for other engines to score with: a row per node, a leaf without a feature.
+
+    Columns: tree, node, feature (its place in ``FEATURES``), threshold, left_node, right_node, prediction.
+    """
+    node, inner = F.col("nodeData"), F.col("nodeData.leftChild") >= 0
+    return spark.read.parquet(f"{path}/stages/1_*/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("node"),
+        F.when(inner, node["split"]["featureIndex"]).alias("feature"),
+        F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(inner, node["leftChild"]).alias("left_node"),
+        F.when(inner, node["rightChild"]).alias("right_node"),
+        node["prediction"].alias("prediction"),
+    )
+
+
+def forest_sql(rows: str, nodes: str, key: list[str], features: list[str] | None = None) -> str:
+    """SQL that scores a table of rows with a table of ``forest_nodes``: the key and the mean of all trees, two decimals."""
+    names, keys = features or FEATURES, ", ".join(key)
+    value = " ".join(f"WHEN {i} THEN w.{name}" for i, name in enumerate(names))
+    return f"""WITH RECURSIVE walk AS (
+        SELECT r.*, n.tree, n.node, n.feature, n.threshold, n.left_node, n.right_node, n.prediction
+        FROM {rows} r JOIN {nodes} n ON n.node = 0
+        UNION ALL
+        SELECT {", ".join(f"w.{c}" for c in [*key, *names])},
+            n.tree, n.node, n.feature, n.threshold, n.left_node, n.right_node, n.prediction
+        FROM walk w JOIN {nodes} n ON n.tree = w.tree
+            AND n.node = CASE WHEN CASE w.feature {value} END <= w.threshold THEN w.left_node ELSE w.right_node END
+        WHERE w.feature IS NOT NULL
+    )
+    SELECT {keys}, round(CAST(avg(prediction) AS DECIMAL(38, 8)), 2) AS {PREDICTION}
+    FROM walk WHERE feature IS NULL GROUP BY {keys}"""
+
+
 def train_and_save(
     rows: DataFrame, key: list[str], path: str, max_depth: int = MAX_DEPTH, partitions: int | None = None
 ) -> DataFrame:

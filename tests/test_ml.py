@@ -35,3 +35,23 @@ def test_forest_learns_and_survives_saving(rows, tmp_path):
 def test_features_are_in_the_order_of_training(rows):
     first = ml.assemble(rows).select("features", *ml.FEATURES).first()
     assert list(first.features) == [first[c] for c in ml.FEATURES]
+
+
+def test_another_engine_scores_the_saved_trees_alike(spark, rows, tmp_path):
+    import duckdb
+
+    path = str(tmp_path / "model")
+    training, test = ml.split(rows, KEY)
+    ml.save(ml.train(training, max_depth=5, trees=20, partitions=4), path)
+    nodes = ml.forest_nodes(spark, path)
+    assert nodes.select("tree").distinct().count() == 20
+    sample = test.limit(80).cache()
+    want = {(r.l_orderkey, r.l_linenumber): r[ml.PREDICTION] for r in ml.score(ml.load(path), sample).collect()}
+    nodes.write.parquet(str(tmp_path / "nodes"))
+    sample.select(*KEY, *ml.FEATURES).write.parquet(str(tmp_path / "rows"))
+    con = duckdb.connect()
+    for name in ("nodes", "rows"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+    got = {(a, b): float(p) for a, b, p in con.execute(ml.forest_sql("rows", "nodes", KEY)).fetchall()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.011 for k in want)
+    assert sum(got[k] == want[k] for k in want) >= 0.95 * len(want)
