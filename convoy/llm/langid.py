@@ -7,9 +7,6 @@ n-grams of the greatest length of which at least one is known, and adds the mean
 from __future__ import annotations
 
 import math
-import re
-import sys
-import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,21 +27,8 @@ HELD, REMEMBERED = 300_000, 200_000
 UNKNOWN = "und"
 
 
-def _class(kind: str) -> str:
-    """All characters of a general category, as the inside of a character class."""
-    ranges: list[list[int]] = []
-    for code in range(sys.maxunicode + 1):
-        if unicodedata.category(chr(code))[0] == kind:
-            if ranges and ranges[-1][1] == code - 1:
-                ranges[-1][1] = code
-            else:
-                ranges.append([code, code])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
-
-
-_LETTERS, _MARKS = _class("L"), _class("M")
 #: A letter and what letters and marks follow it. Numerals are no letters.
-WORD = re.compile(f"[{_LETTERS}][{_LETTERS}{_MARKS}]*")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def _none() -> np.ndarray:
