@@ -251,11 +251,8 @@ def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("refused", F.lit(refused))
 
 
-def _text_hash(value: Column) -> Column:
-    """Sixty bits of the MD5 of a value's text, which any engine computes alike."""
-    return F.conv(F.substring(F.md5(value.cast("string")), 1, 15), 16, 10).cast("bigint")
-
-
+# Sixty bits of the MD5 of a value's text, which any engine computes alike.
+TEXT_HASH = "CAST(conv(substring(md5(CAST({} AS STRING)), 1, 15), 16, 10) AS BIGINT)"
 # Columns whose text is the same in every engine.
 PRINTED = {
     "dim_depot": ("depot_id", "depot_name", "city", "capacity"),
@@ -275,7 +272,7 @@ def _copy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy_tables(spark, {name: fleet[name] for name in PRINTED}, root)
     found = None
     for name, columns in PRINTED.items():
-        rows = fingerprints(read_table(spark, root, name).select(*columns), _text_hash).where(F.col("column") != "*")
+        rows = fingerprints(read_table(spark, root, name).select(*columns), TEXT_HASH).where(F.col("column") != "*")
         rows = rows.select(F.lit(name).alias("table_name"), "column", "rows", "filled", F.col("fingerprint").cast("string").alias("fingerprint"))
         found = rows if found is None else found.unionByName(rows)
     return found

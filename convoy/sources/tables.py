@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.operators.quality import bad_keys
@@ -118,31 +118,28 @@ def _reconcile(spark: SparkSession, staging: str, counts: Mapping[str, int]) ->
             raise LoadError(f"{table}: {rows} rows read, {written[table]} written")
 
 
-def fingerprints(df: DataFrame, hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+def fingerprints(df: DataFrame, hashed: str = "xxhash64({})") -> DataFrame:
     """A row per column, and one named ``*`` for whole rows, as (column, rows, filled, fingerprint decimal).
 
     The fingerprint is the sum of the 64-bit hashes of all values but NULL, so the order of rows is of no account, and a value
-    that changes, moves to another row or repeats changes it. ``hashed`` gives a value's hash. The hashes are summed in three
-    parts, which keeps the work per row in 64-bit additions.
+    that changes, moves to another row or repeats changes it. ``hashed`` is the SQL of a value's hash. The hashes are summed in
+    three parts, which keeps the work per row in 64-bit additions.
     """
-    hashes = {name: F.when(F.col(f"`{name}`").isNotNull(), hashed(F.col(f"`{name}`"))) for name in df.columns}
-    hashes["*"] = hashed(F.concat_ws("|", *[F.coalesce(h.cast("string"), F.lit("-")) for h in hashes.values()]))
-    low = F.lit((1 << BITS) - 1).cast("bigint")
-    sums = [F.count(F.lit(1)).alias("rows")]
-    for i, h in enumerate(hashes.values()):
-        pieces = (h.bitwiseAND(low), F.shiftrightunsigned(h, BITS).bitwiseAND(low), F.shiftrightunsigned(h, 2 * BITS))
-        sums += [F.count(h).alias(f"_n{i}"), *[F.coalesce(F.sum(p), F.lit(0)).alias(f"_{j}_{i}") for j, p in enumerate(pieces)]]
-    wide = lambda name, shift: F.col(name).cast("decimal(20,0)") * F.lit(1 << shift).cast("decimal(14,0)")
-    rows = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col("rows"),
-            F.col(f"_n{i}").alias("filled"),
-            (wide(f"_0_{i}", 0) + wide(f"_1_{i}", BITS) + wide(f"_2_{i}", 2 * BITS)).cast("decimal(38,0)").alias("fingerprint"),
-        )
-        for i, name in enumerate(hashes)
-    ]
-    return df.agg(*sums).select(F.inline(F.array(*rows)))
+    names = [f"`{name.replace('`', '``')}`" for name in df.columns]
+    values = df.selectExpr(*[f"if({n} IS NULL, NULL, {hashed.replace('{}', n)}) AS h{i}" for i, n in enumerate(names)])
+    parts = ", ".join(f"coalesce(CAST(h{i} AS STRING), '-')" for i in range(len(names)))
+    row_hash = hashed.replace("{}", f"concat_ws('|', {parts})")
+    values = values.selectExpr("*", f"{row_hash} AS h{len(names)}")
+    sums, low = ["count(1) AS rows"], (1 << BITS) - 1
+    for i in range(len(names) + 1):
+        pieces = (f"h{i} & {low}", f"shiftrightunsigned(h{i}, {BITS}) & {low}", f"shiftrightunsigned(h{i}, {2 * BITS})")
+        sums += [f"count(h{i}) AS n{i}", *(f"coalesce(sum({p}), 0) AS s{j}_{i}" for j, p in enumerate(pieces))]
+    rows = []
+    for i, name in enumerate([*df.columns, "*"]):
+        total = " + ".join(f"CAST(s{j}_{i} AS DECIMAL(20, 0)) * CAST({1 << j * BITS} AS DECIMAL(14, 0))" for j in range(3))
+        text = name.replace("\\", "\\\\").replace("'", "\\'")
+        rows.append(f"struct('{text}' AS column, rows, n{i} AS filled, CAST({total} AS DECIMAL(38, 0)) AS fingerprint)")
+    return values.selectExpr(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _compare(spark: SparkSession, staging: str, tables: Mapping[str, DataFrame]) -> None:
