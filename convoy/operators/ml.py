@@ -2,6 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import sys
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -9,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.functions.numeric import round2
+from convoy.session import work_dir
+
+# Functions that run in Python workers travel by value, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed values.
 FEATURES = ["distance_km", "speed_kmh", "fuel_level"]
@@ -21,7 +34,28 @@ TEST_SHARE = 0.2
 # Trees without a depth limit grow with the rows, and MLlib stops at 30. Ten levels hold the signal of three features.
 MAX_DEPTH = 10
 
+#: Bins of a feature, between which trees split.
+BINS = 32
+
 _BUCKETS = 1000
+# Rows that are drawn for all trees at once.
+_CHUNK = 1 << 14
+# The Poisson number of mean one for each 16-bit number.
+_POISSON = np.searchsorted(np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]), (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
+# A tree's node as MLlib saves it, the split's own fields last.
+_NODE = {
+    "tree": "int",
+    "id": "int",
+    "prediction": "double",
+    "impurity": "double",
+    "impurityStats": "array<double>",
+    "rawCount": "long",
+    "gain": "double",
+    "leftChild": "int",
+    "rightChild": "int",
+    "featureIndex": "int",
+    "leftCategoriesOrThreshold": "array<double>",
+}
 
 
 def assemble(df: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -54,11 +88,115 @@ def train(
 
     Rows that lie in more partitions than that keep them, so large partitions are never made of small ones.
 
-    The node statistics get 1 GB per pass, so a level of the trees takes few passes over the rows, and the node each
-    row has reached is kept between passes.
+    Trees split between the bins of a feature, as MLlib's do. So one pass finds the bins, and one adds every row, as often as
+    each tree's bootstrap draws it, to its cell, which is a bin of each feature. All a split needs are a tree's sums by cell, at
+    most ``BINS`` to the power of the features, however many rows there are. MLlib's own training passes over the rows once
+    per level and keeps a hundred counts and node numbers for each.
     """
+    thresholds = _thresholds(rows)
     if partitions and rows._jdf.rdd().getNumPartitions() < partitions:
         rows = rows.repartition(partitions, *(spread_by or FEATURES))
+    # a key may repeat, so the values count too
+    draw = F.xxhash64(F.lit(SEED), *(spread_by or [F.monotonically_increasing_id()]), *FEATURES, label).alias("draw")
+    values = [F.col(name).cast("double").alias(f"value_{i}") for i, name in enumerate([*FEATURES, label])]
+    sums = rows.select(draw, *values).mapInArrow(partial(_bagged, thresholds, trees), "tree int, cell int, n double, s double, q double")
+    cells = sums.groupBy("tree", "cell").agg(*[F.sum(c).alias(c) for c in ("n", "s", "q")])
+    node = ", ".join(f"{name} {kind}" for name, kind in _NODE.items())
+
+    def grown(cells: pd.DataFrame) -> pd.DataFrame:
+        return _grown(thresholds, max_depth, cells)
+
+    return _model(cells.groupBy("tree").applyInPandas(grown, node), label, trees, max_depth)
+
+
+def _thresholds(rows: DataFrame) -> list[list[float]]:
+    """Where the bins of each feature end: between its values if they are few, else at its quantiles."""
+    parts, found = 8 * BINS, []
+    for values in rows.approxQuantile(FEATURES, [i / parts for i in range(parts + 1)], 1 / (4 * parts)):
+        distinct = sorted(set(values))
+        if not distinct:
+            raise ValueError("there are no rows to train on")
+        if len(distinct) <= BINS:
+            found.append([(low + high) / 2 for low, high in zip(distinct, distinct[1:])])
+        else:
+            found.append(sorted({values[i * parts // BINS] for i in range(1, BINS)} - {distinct[-1]}))
+    return found
+
+
+def _draws(rows: np.ndarray, trees: int) -> np.ndarray:
+    """How often each tree's bootstrap draws each row: Poisson numbers of mean one, from 16 bits of a hash of row and tree."""
+    blocks = np.arange(1, -(-trees // 4) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = rows[:, None] + blocks
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return _POISSON[(mixed ^ (mixed >> np.uint64(31))).view(np.uint16)[:, :trees]]
+
+
+def _bagged(thresholds: list[list[float]], trees: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition as sums by tree and cell: of draws, of drawn labels and of their squares."""
+    shape = [len(ends) + 1 for ends in thresholds]
+    size = math.prod(shape)
+    sums = np.zeros((trees, 3, size))
+    for batch in batches:
+        for start in range(0, batch.num_rows, _CHUNK):
+            draw, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.slice(start, _CHUNK).columns)
+            *features, label = columns
+            if any(np.isnan(values).any() for values in features) or not np.isfinite(label).all():
+                raise ValueError("a feature or label is missing or not a number")
+            places = [np.searchsorted(ends, values) for ends, values in zip(thresholds, features)]
+            cells = np.ravel_multi_index(places, shape)
+            for total, times in zip(sums, np.ascontiguousarray(_draws(draw.view(np.uint64), trees).T)):
+                value = times.astype(np.float64)
+                for k in range(3):
+                    total[k] += np.bincount(cells, value, size)
+                    value *= label
+    for tree, total in enumerate(sums):
+        cells = np.flatnonzero(total[0])
+        columns = [np.full(len(cells), tree, np.int32), cells.astype(np.int32), *total[:, cells]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["tree", "cell", "n", "s", "q"])
+
+
+def _grown(thresholds: list[list[float]], max_depth: int, cells: pd.DataFrame) -> pd.DataFrame:
+    """One tree from its cells. Every node splits where the variance falls most; ids ascend from a node to its children."""
+    places = np.unravel_index(cells["cell"].to_numpy(), [len(ends) + 1 for ends in thresholds])
+    stats = cells[["n", "s", "q"]].to_numpy()
+    nodes: list[list] = []
+
+    def grow(here: np.ndarray, depth: int) -> None:
+        n, s, q = stats[here].sum(axis=0)
+        node, number = [len(nodes), s / n, max(0.0, q / n - (s / n) ** 2), [n, s, q], int(n), -1.0, -1, -1, -1, []], len(nodes)
+        nodes.append(node)
+        # a smaller fall of the variance, or difference between two falls, is rounding; of such equals the first is taken
+        least, best, split = 1e-12 * q / n, 0.0, None
+        for feature, ends in enumerate(thresholds) if depth < max_depth else ():
+            counts, totals = (np.bincount(places[feature][here], stats[here, i], len(ends) + 1).cumsum()[:-1] for i in (0, 1))
+            apart = np.flatnonzero((counts > 0) & (counts < n))
+            if apart.size:
+                left, total = counts[apart], totals[apart]
+                gains = (total**2 / left + (s - total) ** 2 / (n - left) - s**2 / n) / n
+                if gains.max() > best + least:
+                    best, split = gains.max(), (feature, int(apart[(gains >= gains.max() - least).argmax()]))
+        if split is None:
+            return
+        lower = places[split[0]][here] <= split[1]
+        node[5:] = [best, number + 1, None, split[0], [thresholds[split[0]][split[1]]]]
+        grow(here[lower], depth + 1)
+        node[7] = len(nodes)
+        grow(here[~lower], depth + 1)
+        if len(nodes) == number + 3 and nodes[-1][1] == nodes[-2][1]:
+            del nodes[number + 1 :]
+            node[5:] = [-1.0, -1, -1, -1, []]
+
+    grow(np.arange(len(stats)), 0)
+    grown = pd.DataFrame(nodes, columns=list(_NODE)[1:])
+    grown.insert(0, "tree", cells["tree"].iloc[0])
+    return grown
+
+
+def _model(nodes: DataFrame, label: str, trees: int, max_depth: int) -> PipelineModel:
+    """The grown trees as an MLlib model. MLlib makes forests by training or loading only, so one of bare roots is saved, its
+    nodes are replaced, and it is loaded."""
+    spark = nodes.sparkSession
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=label,
@@ -66,11 +204,18 @@ def train(
         numTrees=trees,
         maxDepth=max_depth,
         featureSubsetStrategy="all",
+        maxBins=BINS,
         seed=SEED,
-        maxMemoryInMB=1024,
-        cacheNodeIds=True,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(rows)
+    # as many rows as make an empty bootstrap, which has no root, out of the question
+    bare = spark.range(64).select(*[F.lit(0.0).alias(name) for name in [*FEATURES, label]])
+    model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(bare)
+    path = work_dir(spark, "forest")
+    save(model, path)
+    split = F.struct("featureIndex", "leftCategoriesOrThreshold", F.lit(-1).alias("numCategories")).alias("split")
+    data = F.struct(*list(_NODE)[1:9], split).alias("nodeData")
+    nodes.select(F.col("tree").alias("treeID"), data).write.mode("overwrite").parquet(f"{path}/stages/1_{model.stages[1].uid}/data")
+    return load(path)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -55,3 +55,61 @@ def test_another_engine_scores_the_saved_trees_alike(spark, rows, tmp_path):
     got = {(a, b): float(p) for a, b, p in con.execute(ml.forest_sql("rows", "nodes", KEY)).fetchall()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.011 for k in want)
     assert sum(got[k] == want[k] for k in want) >= 0.95 * len(want)
+
+
+def test_deeper_trees_take_no_more_passes_over_the_rows(spark, rows):
+    context = spark.sparkContext
+    jobs = {}
+    for depth in (2, 8):
+        context.setJobGroup(f"depth {depth}", "")
+        ml.train(rows, trees=10, max_depth=depth, spread_by=KEY)
+        jobs[depth] = len(context.statusTracker().getJobIdsForGroup(f"depth {depth}"))
+    context.setJobGroup("rest", "")
+    assert jobs[8] == jobs[2]
+
+
+def test_trees_hold_every_drawn_row_and_split_where_the_variance_falls_most(spark, tmp_path):
+    """Against all splits of the raw rows, which have fewer values than there are bins."""
+    data = [(float(i % 7), float(i * i % 11), float(i % 3), float((i % 7) ** 2 + 5 * (i % 3) + i * 13 % 5), i) for i in range(400)]
+    rows = spark.createDataFrame(data, [*ml.FEATURES, ml.LABEL, "id"])
+    path = str(tmp_path / "model")
+    ml.save(ml.train(rows, trees=6, max_depth=3, partitions=4, spread_by=["id"]), path)
+    hashes = rows.select(F.xxhash64(F.lit(ml.SEED), "id", *ml.FEATURES, ml.LABEL)).toPandas().to_numpy().ravel().view("uint64")
+    saved = spark.read.parquet(f"{path}/stages/1_*/data").orderBy("treeID", "nodeData.id").collect()
+    assert {r.treeID for r in saved} == set(range(6))
+    for tree, drawn in enumerate(ml._draws(hashes, 6).T):
+        nodes = [r.nodeData for r in saved if r.treeID == tree]
+        held = {0: [(row, int(n)) for row, n in zip(data, drawn) if n]}
+        for node in nodes:
+            here = held[node.id]
+            n, s = sum(k for _, k in here), sum(row[3] * k for row, k in here)
+            assert node.rawCount == n and abs(node.prediction - s / n) < 1e-9
+
+            def fall(feature, at):
+                sides = [[(row[3], k) for row, k in here if (row[feature] <= at) == left] for left in (True, False)]
+                return sum(sum(y * k for y, k in side) ** 2 / sum(k for _, k in side) for side in sides if side) / n - (s / n) ** 2
+
+            best = max(fall(f, row[f]) for f in range(3) for row, _ in here)
+            if node.leftChild < 0:
+                continue
+            feature, at = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
+            assert abs(node.gain - best) < 1e-9 and abs(fall(feature, at) - best) < 1e-9
+            held[node.leftChild] = [x for x in here if x[0][feature] <= at]
+            held[node.rightChild] = [x for x in here if x[0][feature] > at]
+        assert len(nodes) > 7
+
+
+def test_draws_are_poisson_and_do_not_hang_on_the_partitions(spark, rows):
+    import numpy as np
+
+    draws = ml._draws(np.arange(200_000, dtype=np.uint64) * np.uint64(2654435761), 10)
+    assert np.allclose(draws.mean(axis=0), 1, atol=0.02) and np.allclose(draws.var(axis=0), 1, atol=0.03)
+    assert np.abs(np.corrcoef(draws.T) - np.eye(10)).max() < 0.02
+    one, other = (ml.train(rows, trees=5, partitions=n, spread_by=KEY) for n in (2, 7))
+    both = other.transform(one.transform(rows).withColumnRenamed("prediction", "p").drop("features"))
+    assert both.where("abs(prediction - p) > 1e-6").count() == 0
+
+
+def test_a_missing_feature_stops_the_training(rows):
+    with pytest.raises(Exception, match="missing or not a number"):
+        ml.train(rows.withColumn("speed_kmh", F.when(F.col("l_linenumber") > 1, F.col("speed_kmh"))), trees=2)
