@@ -147,12 +147,19 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("kafka_topic", "partition", "offset", vehicle, F.length("raw").alias("raw_length"))
 
 
+def _in_batches(messages: DataFrame, path: str, batches: int) -> DataFrame:
+    """Messages written to files of mixed times, as a stream of so many micro-batches. Each has a file per core, so that all of
+    them parse and check it."""
+    spark = messages.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    messages.repartition(batches * cores, F.crc32(F.col("offset").cast("string"))).write.parquet(path)
+    return spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", cores).parquet(path)
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in small files of mixed times through the stream, a file at a time, into clean positions, then read back."""
+    """Messages of mixed times through the stream, in six micro-batches, into clean positions, then read back."""
     fleet, root = SampleFleet(spark, sf_dir), work_dir(spark, "streamed")
-    messages = fleet.gps_messages()
-    messages.repartition(6, F.crc32(F.col("offset").cast("string"))).write.parquet(f"{root}/messages")
-    files = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/messages")
+    files = _in_batches(fleet.gps_messages(), f"{root}/messages", 6)
     envelopes = bronze.envelope_from_messages(files)
     write_silver(envelopes, silver.GPS_RULES, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
     return plain(_record(read_stream_silver(spark, f"{root}/silver", silver.GPS_RULES)).drop("_partition"))
@@ -168,7 +175,7 @@ def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed and rejected events of all topics, as their streams have counted them, some files to a micro-batch."""
+    """Processed and rejected events of all topics, as their streams have counted them, in two micro-batches each."""
     fleet, root, counts = SampleFleet(spark, sf_dir), work_dir(spark, "counted"), None
     topics = (
         (silver.GPS_RULES, fleet.gps_messages()),
@@ -177,8 +184,7 @@ def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for rules, messages in topics:
         source, target = f"{root}/messages/{rules.topic}", f"{root}/silver/{rules.topic}"
-        messages.repartition(4, F.crc32(F.col("offset").cast("string"))).write.parquet(source)
-        files = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        files = _in_batches(messages, source, 2)
         stream = write_silver(bronze.envelope_from_messages(files), rules, target, f"{root}/checkpoint/{rules.topic}")
         stream.awaitTermination()
         found = read_stream_counts(spark, target, rules)
