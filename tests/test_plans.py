@@ -69,3 +69,14 @@ def test_filters_and_columns_reach_the_files(plans):
     assert "GreaterThan(value,70.0)" in plans["overspeed_positions"]
     scan = next(line for line in plans["idle_time"].splitlines() if "FileScan" in line)
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in scan
+
+
+@pytest.mark.parametrize("name, topic, batches", [("silver_stream", "", 6), ("stream_counts", "/gps-events", 2)])
+def test_every_core_gets_a_file_of_a_micro_batch(spark, tmp_path, monkeypatch, name, topic, batches):
+    from convoy.sources import manifest
+
+    monkeypatch.setattr(sample_queries, "work_dir", lambda spark, name: str(tmp_path / "run"))
+    sample_queries.queries()[name](spark, "/root/testdata/sf0.01")
+    files = list((tmp_path / "run" / f"messages{topic}").glob("part-*"))
+    assert len(files) == batches * spark.sparkContext.defaultParallelism
+    assert manifest.newest(spark, str(tmp_path / "run" / f"silver{topic}"))[1]["last"] == batches - 1
