@@ -278,7 +278,7 @@ def _copy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy_tables(spark, {name: fleet[name] for name in PRINTED}, root)
     found = None
     for name, columns in PRINTED.items():
-        rows = fingerprints(read_table(spark, root, name).select(*columns), TEXT_HASH).where(F.col("column") != "*")
+        rows = fingerprints(read_table(spark, root, name).select(*columns), TEXT_HASH, whole=False)
         rows = rows.select(F.lit(name).alias("table_name"), "column", "rows", "filled", F.col("fingerprint").cast("string").alias("fingerprint"))
         found = rows if found is None else found.unionByName(rows)
     return found

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.operators.quality import bad_keys
@@ -18,6 +18,8 @@ from convoy.sources import files
 
 #: Bits of a hash that are summed together; sums of fewer than 2^41 rows stay in 64 bits.
 BITS = 22
+#: SQL of a value's hash.
+HASH = "xxhash64({})"
 
 
 class LoadError(Exception):
@@ -118,8 +120,8 @@ def _reconcile(spark: SparkSession, staging: str, counts: Mapping[str, int]) ->
             raise LoadError(f"{table}: {rows} rows read, {written[table]} written")
 
 
-def fingerprints(df: DataFrame, hashed: str = "xxhash64({})") -> DataFrame:
-    """A row per column, and one named ``*`` for whole rows, as (column, rows, filled, fingerprint decimal).
+def fingerprints(df: DataFrame, hashed: str = HASH, whole: bool = True) -> DataFrame:
+    """A row per column, and if ``whole`` one named ``*`` for whole rows, as (column, rows, filled, fingerprint decimal).
 
     The fingerprint is the sum of the 64-bit hashes of all values but NULL, so the order of rows is of no account, and a value
     that changes, moves to another row or repeats changes it. ``hashed`` is the SQL of a value's hash. The hashes are summed in
@@ -127,28 +129,61 @@ def fingerprints(df: DataFrame, hashed: str = "xxhash64({})") -> DataFrame:
     """
     names = [f"`{name.replace('`', '``')}`" for name in df.columns]
     values = df.selectExpr(*[f"if({n} IS NULL, NULL, {hashed.replace('{}', n)}) AS h{i}" for i, n in enumerate(names)])
-    parts = ", ".join(f"coalesce(CAST(h{i} AS STRING), '-')" for i in range(len(names)))
-    row_hash = hashed.replace("{}", f"concat_ws('|', {parts})")
-    values = values.selectExpr("*", f"{row_hash} AS h{len(names)}")
-    sums, low = ["count(1) AS rows"], (1 << BITS) - 1
-    for i in range(len(names) + 1):
-        pieces = (f"h{i} & {low}", f"shiftrightunsigned(h{i}, {BITS}) & {low}", f"shiftrightunsigned(h{i}, {2 * BITS})")
-        sums += [f"count(h{i}) AS n{i}", *(f"coalesce(sum({p}), 0) AS s{j}_{i}" for j, p in enumerate(pieces))]
+    if whole:
+        values = values.selectExpr("*", f"{_row_hash([f'h{i}' for i in range(len(names))], hashed)} AS h{len(names)}")
+    columns = [*df.columns, "*"] if whole else df.columns
+    sums = ["count(1) AS rows"]
+    for i in range(len(columns)):
+        sums += [f"{value} AS {name}" for name, value in _sums(i, f"h{i}").items()]
     rows = []
-    for i, name in enumerate([*df.columns, "*"]):
+    for i, name in enumerate(columns):
         total = " + ".join(f"CAST(s{j}_{i} AS DECIMAL(20, 0)) * CAST({1 << j * BITS} AS DECIMAL(14, 0))" for j in range(3))
         text = name.replace("\\", "\\\\").replace("'", "\\'")
         rows.append(f"struct('{text}' AS column, rows, n{i} AS filled, CAST({total} AS DECIMAL(38, 0)) AS fingerprint)")
     return values.selectExpr(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _compare(spark: SparkSession, staging: str, tables: Mapping[str, DataFrame]) -> None:
-    """Refuse a copy that holds other values than its source."""
-    for table, df in tables.items():
-        source, copied = ({r["column"]: r for r in fingerprints(x).collect()} for x in (df, _read(spark, staging, table)))
-        wrong = sorted(c for c in source.keys() | copied.keys() if source.get(c) != copied.get(c))
+def _row_hash(hashes: list[str], hashed: str = HASH) -> str:
+    texts = ", ".join(f"coalesce(CAST({h} AS STRING), '-')" for h in hashes)
+    return hashed.replace("{}", f"concat_ws('|', {texts})")
+
+
+def _sums(i: int, value: str) -> dict[str, str]:
+    """The number of values of column i and the sums of the three parts of their hashes."""
+    low = (1 << BITS) - 1
+    pieces = (f"{value} & {low}", f"shiftrightunsigned({value}, {BITS}) & {low}", f"shiftrightunsigned({value}, {2 * BITS})")
+    return {f"n{i}": f"count({value})", **{f"s{j}_{i}": f"coalesce(sum({piece}), 0)" for j, piece in enumerate(pieces)}}
+
+
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and, once it has been written, the sums that ``fingerprints`` makes its rows from.
+
+    They are taken where rows go to their files, with no shuffle behind: Spark counts the figures of such a task once, also where
+    it runs again, so they are as exact as those of a query of their own, and the tables are not joined again for them.
+    """
+    seen = Observation()
+    hashes = [f"if({n} IS NULL, NULL, {HASH.replace('{}', n)})" for n in (f"`{name.replace('`', '``')}`" for name in df.columns)]
+    sums = {"rows": "count(1)"}
+    for i, value in enumerate([*hashes, _row_hash(hashes)]):
+        sums |= _sums(i, value)
+    return df.observe(seen, *[F.expr(value).alias(name) for name, value in sums.items()]), seen
+
+
+def _compare(spark: SparkSession, staging: str, read: Mapping[str, Mapping[str, int]]) -> None:
+    """Refuse a copy that holds other rows or values than were read, by their sums."""
+    for table, sums in read.items():
+        copy = _read(spark, staging, table)
+        found = {r["column"]: r for r in fingerprints(copy).collect()}
+        rows = found["*"]["rows"]
+        if rows != sums["rows"]:
+            raise LoadError(f"{table}: {sums['rows']} rows read, {rows} written")
+        wrong = []
+        for i, name in enumerate([*copy.columns, "*"]):
+            total = sum(sums[f"s{j}_{i}"] << j * BITS for j in range(3))
+            if (found[name]["filled"], int(found[name]["fingerprint"])) != (sums[f"n{i}"], total):
+                wrong.append(name)
         if wrong:
-            raise LoadError(f"{table}: other values written than read in {', '.join(wrong)}")
+            raise LoadError(f"{table}: other values written than read in {', '.join(sorted(wrong))}")
 
 
 def _promote(spark: SparkSession, staging: str, root: str, tables: Mapping[str, DataFrame]) -> None:
@@ -207,7 +242,8 @@ def copy_tables(
     """Copy tables to a place that must not hold any of them yet; all arrive, with equal rows and values, or none.
 
     ``declared`` gives the column types of another store, by table, to which values are cast on the way. Rows are written as
-    they are read, without a shuffle; then counts and fingerprints of both sides are compared.
+    they are read, without a shuffle, and each table is computed once: its rows are counted and fingerprinted on their way, and
+    the written ones are read back and compared.
     """
     taken = [t for t in tables if files.exists(spark, f"{root}/{t}")]
     if taken:
@@ -215,16 +251,19 @@ def copy_tables(
     tables = {t: as_declared(df, (declared or {}).get(t, {})) for t, df in tables.items()}
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     try:
-        counts = _stage(spark, tables, staging, _write_as_is)
-        _reconcile(spark, staging, counts)
-        _compare(spark, staging, tables)
+        read = {}
+        for table, df in tables.items():
+            df, seen = _observed(df)
+            _write_as_is(df, f"{staging}/{table}", table)
+            read[table] = seen.get
+        _compare(spark, staging, read)
         try:
             _promote(spark, staging, root, tables)
         except Exception:
             for table in tables:
                 files.drop(spark, f"{root}/{table}")
             raise
-        return counts
+        return {table: sums["rows"] for table, sums in read.items()}
     finally:
         files.drop(spark, staging)
 

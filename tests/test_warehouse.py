@@ -253,3 +253,23 @@ def test_a_copy_casts_to_declared_types(spark, tmp_path):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         copy_tables(spark, {"u": rows}, str(tmp_path / "copy"), {"u": {"c": "INT"}})
     assert not (tmp_path / "copy" / "u").exists()
+
+
+def test_a_copy_computes_its_source_once(spark, tmp_path):
+    """By the rows that pass, of a source with a shuffle; empty tables and odd names arrive too."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(300).mapInArrow(counted, "id long").repartition(3, "id").selectExpr("id", "IF(id % 5 = 0, NULL, id / 7) AS `a.'b`")
+    assert copy_tables(spark, {"a": source, "none": spark.range(0)}, str(tmp_path / "copy")) == {"a": 300, "none": 0}
+    assert passed.value == 300
+    assert fingerprints(spark.read.parquet(str(tmp_path / "copy" / "a"))).collect() == fingerprints(source).collect()
+
+
+def test_fingerprints_without_whole_rows(spark):
+    df = spark.range(20).selectExpr("id", "IF(id % 5 = 0, NULL, concat('x', id % 7)) AS name")
+    assert fingerprints(df, whole=False).collect() == fingerprints(df).where(F.col("column") != "*").collect()
