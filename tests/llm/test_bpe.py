@@ -63,3 +63,15 @@ def test_columns_and_empty_table(spark):
     table = docs(spark, longer()).withColumns({"text_key": F.lit(1), "n": F.lit(2)})
     assert bpe.encode(table, PATH, public_tokenizers.PATTERN, chunk=100, overlap=30).columns == [*table.columns, "ids"]
     assert bpe.encode(docs(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_batch_becomes_python_objects_some_rows_at_a_time():
+    import pyarrow as pa
+
+    from convoy.llm import bpe as module
+
+    for n in (0, 1, 256, 700):
+        rows = pa.array([None if i % 3 == 0 else f"t{i}" for i in range(n)], pa.string())
+        parts = list(module._few(rows))
+        assert parts and max(len(part) for part in parts) <= module.AT_ONCE
+        assert pa.concat_arrays(parts) == rows
