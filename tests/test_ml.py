@@ -113,3 +113,38 @@ def test_draws_are_poisson_and_do_not_hang_on_the_partitions(spark, rows):
 def test_a_missing_feature_stops_the_training(rows):
     with pytest.raises(Exception, match="missing or not a number"):
         ml.train(rows.withColumn("speed_kmh", F.when(F.col("l_linenumber") > 1, F.col("speed_kmh"))), trees=2)
+
+
+def test_rows_take_the_prediction_of_their_cell_and_walk_no_tree(spark, rows, monkeypatch):
+    """As many rows as there are go through the forest only if its thresholds leave too many cells; results are the same."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import RandomForestRegressor
+
+    forest = RandomForestRegressor(featuresCol="features", labelCol=ml.LABEL, numTrees=5, maxDepth=6, maxBins=20, seed=1)
+    by_mllib = Pipeline(stages=[ml.VectorAssembler(inputCols=ml.FEATURES, outputCol="features"), forest]).fit(rows)
+    for model in (by_mllib, ml.train(rows, trees=7, max_depth=8, partitions=4, spread_by=KEY)):
+        ends = {(n["feature"], n["threshold"]) for n in _inner(spark, model)}
+        on_edges = [tuple(next((t for f, t in sorted(ends)[i::7] if f == k), 0.0) for k in range(3)) for i in range(7)]
+        on_edges += [(-1e300, 0.0, 1e300), (float("inf"), -float("inf"), -0.0)]
+        given = spark.createDataFrame(on_edges, ml.FEATURES).unionByName(rows.select(ml.FEATURES))
+        plan = ml.predict(model, given)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("UDF") <= 2 and "Range" in plan
+        got = sorted(map(tuple, ml.predict(model, given).select(*ml.FEATURES, "prediction").collect()))
+        want = sorted(map(tuple, model.transform(given).select(*ml.FEATURES, "prediction").collect()))
+        assert got == want
+        monkeypatch.setattr(ml, "_CELLS", 1)
+        assert sorted(map(tuple, ml.predict(model, given).select(*ml.FEATURES, "prediction").collect())) == want
+        monkeypatch.undo()
+
+
+def _inner(spark, model):
+    path = ml.work_dir(spark, "nodes")
+    ml.save(model, path)
+    return ml.forest_nodes(spark, path).where("feature IS NOT NULL").collect()
+
+
+def test_a_missing_feature_stops_the_scoring(rows):
+    model = ml.train(rows, trees=2, max_depth=3)
+    for bad in (F.lit(None).cast("double"), F.lit(float("nan"))):
+        with pytest.raises(Exception, match="missing or not a number"):
+            ml.score(model, rows.withColumn("speed_kmh", F.when(F.col("l_linenumber") > 1, F.col("speed_kmh")).otherwise(bad))).collect()
