@@ -22,14 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut, fresh
+from convoy.llm.common import AT_ONCE, cut, fresh  # noqa: F401
+from convoy.llm.common import few as _few
 
 #: Characters behind a match that can change it.
 AHEAD = 8
 #: Pre-tokens whose ids a worker remembers.
 REMEMBERED = 100_000
-#: Rows of a batch that are Python objects at a time.
-AT_ONCE = 256
 
 
 def vocabulary(docs: DataFrame, path: str) -> Broadcast:
@@ -63,11 +62,6 @@ def _lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def _few(rows: pa.Array) -> Iterator[pa.Array]:
-    """A batch, some rows at a time: as Python objects, a whole one would take several times its room. One part at least."""
-    return (rows.slice(start, AT_ONCE) for start in range(0, max(1, len(rows)), AT_ONCE))
-
-
 def encode(
     docs: DataFrame,
     path: str,
@@ -88,9 +82,8 @@ def encode(
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         split, ids = regex.compile(pattern).findall, _Ids(_ranks(ranks.value))
         for texts in batches:
-            yield pa.concat_arrays(
-                [_lists([b"".join(map(ids.__getitem__, split(t))) if t else b"" for t in few.to_pylist()]) for few in _few(texts)]
-            )
+            for few in _few(texts):
+                yield _lists([b"".join(map(ids.__getitem__, split(t))) if t else b"" for t in few.to_pylist()])
 
     is_long = F.coalesce(F.char_length(text_col) > chunk, F.lit(False))
     text = F.col(text_col)
@@ -182,12 +175,10 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "d
         token = {rank: text for text, rank in _ranks(ranks.value).items()}.__getitem__
         for lists in batches:
             lists = lists.fill_null([]) if lists.null_count else lists
-            made = []
             for few in _few(lists):
                 ids, ends = few.values.to_numpy(), few.offsets.to_pylist()
                 # a row at a time: as Python numbers, the ids of a batch would take ten times their room
-                made.append(pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])], pa.binary()))
-            yield pa.concat_arrays(made)
+                yield pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
     return docs.withColumn(bytes_col, decoded(F.col(ids_col)))
 

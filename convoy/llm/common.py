@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a batch that are Python objects at a time.
+AT_ONCE = 256
+
+
+def few(rows: pa.Array | pa.RecordBatch) -> Iterator:
+    """A batch, some rows at a time: as Python objects, a whole one would take several times its room. One part at least."""
+    return (rows.slice(start, AT_ONCE) for start in range(0, max(1, len(rows)), AT_ONCE))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,11 +6,13 @@ occurrence stays, and in all later ones its lines go. First means the smallest i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import fresh
+from convoy.llm.common import few, fresh
 
 
 def lines(text: Column) -> Column:
@@ -50,20 +52,27 @@ def remove_repeats(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_
     same = docs[id_col].eqNullSafe(windows[names["id"]]) & (F.xxhash64(docs[text_col]) == windows[names["text_hash"]])
 
     @F.arrow_udf("n_lines int, n_removed int, kept string")
-    def kept(texts: pa.Array, starts: pa.Array) -> pa.Array:
-        counts, removed, left = [], [], []
-        for text, places in zip(texts.to_pylist(), starts.to_pylist()):
-            all_lines = text.split("\n") if text is not None else []
-            stay, at = [], 0
-            for place in places or ():
-                stay += all_lines[at:place]
-                at = max(at, place + size)
-            stay += all_lines[at:]
-            counts.append(len(all_lines))
-            removed.append(len(all_lines) - len(stay))
-            left.append(None if text is None else "\n".join(stay))
-        columns = [pa.array(counts, pa.int32()), pa.array(removed, pa.int32()), pa.array(left, pa.string())]
-        return pa.StructArray.from_arrays(columns, ["n_lines", "n_removed", "kept"])
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return _kept(size, batches)
 
     cut_out = kept(F.col(text_col), F.col(names["starts"]))
     return docs.join(windows, same, "left").withColumn(fresh(docs, "dedup"), cut_out).drop(*names.values())
+
+
+def _kept(size, batches):
+    """What stays of every text without its later windows, which are given by the places of their first lines."""
+    for batch in batches:
+        for texts, starts in zip(*map(few, batch)):
+            counts, removed, left = [], [], []
+            for text, places in zip(texts.to_pylist(), starts.to_pylist()):
+                all_lines = text.split("\n") if text is not None else []
+                stay, at = [], 0
+                for place in places or ():
+                    stay += all_lines[at:place]
+                    at = max(at, place + size)
+                stay += all_lines[at:]
+                counts.append(len(all_lines))
+                removed.append(len(all_lines) - len(stay))
+                left.append(None if text is None else "\n".join(stay))
+            columns = [pa.array(counts, pa.int32()), pa.array(removed, pa.int32()), pa.array(left, pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["n_lines", "n_removed", "kept"])

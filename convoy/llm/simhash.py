@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut, fresh
+from convoy.llm.common import cut, few, fresh
 from convoy.llm.components import connected
 
 BITS = 64
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
 
 def _fingerprint_batches(words, batches):
     for batch in batches:
-        marks = [_fingerprint(t, words) for t in batch.column("text").to_pylist()]
+        marks = [_fingerprint(t, words) for part in few(batch.column("text")) for t in part.to_pylist()]
         column = pa.array(np.array(marks, np.uint64).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), column, batch.column("text_hash")], ["id", "fingerprint", "text_hash"]

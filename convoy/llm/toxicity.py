@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut
+from convoy.llm.common import cut, few
 
 # Letters of other scripts and signs that look like Latin letters, and digits that stand for letters.
 LOOK_ALIKES = {
@@ -35,7 +35,7 @@ INVISIBLE = "\u00ad\u034f\u200b\u200c\u200d\u2060\ufeff"
 #: Lengths of word starts that may become lexicon entries, and of whole words at most; longer ones count by their starts.
 STARTS, WORD = range(4, 13), 64
 #: Counts a Python worker holds before it passes them on.
-HELD = 200_000
+HELD = 100_000
 
 
 class _Folds(dict):
@@ -131,7 +131,7 @@ def toxicity(text: Column, model: Model) -> Column:
     @F.arrow_udf("score double, hits int, weight double, words int")
     def weighed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(model)
-        for texts in batches:
+        for texts in (part for batch in batches for part in few(batch)):
             rows = [matcher.weigh(text.as_py()) for text in texts]
             hits, weights, words = zip(*rows) if rows else ((), (), ())
             scores = [matcher.score(w, n) for _, w, n in rows]
@@ -217,7 +217,7 @@ def _evident(counts: DataFrame, label: int, sizes: dict[int, int], least: float)
 
 def _patterns(batches):
     folds, seen = _folds(), Counter()
-    for batch in batches:
+    for batch in (part for whole in batches for part in few(whole)):
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             words = set(fold(text, folds))
             found = {(label, f" {w} ") for w in words if len(w) <= WORD}
@@ -232,7 +232,7 @@ def _patterns(batches):
 def _pairs(model, batches):
     """The word pairs around the hits of every text, each once a text."""
     matcher, seen = Matcher(model), Counter()
-    for batch in batches:
+    for batch in (part for whole in batches for part in few(whole)):
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
             words = fold(text, matcher.folds)
             found, places = set(), {}
@@ -282,7 +282,7 @@ def _rated(counted, sizes, least) -> list[str]:
 def _held(rated, batches):
     """Which of the rated patterns each text holds."""
     folds, place = _folds(), {pattern: i for i, pattern in enumerate(rated)}
-    for batch in batches:
+    for batch in (part for whole in batches for part in few(whole)):
         found = []
         for text in batch.column("text").to_pylist():
             words = set(fold(text, folds))

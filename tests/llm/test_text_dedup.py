@@ -146,3 +146,21 @@ def test_line_dedup_keeps_other_columns(spark):
     table = docs(spark, awkward()).withColumns({"starts": F.lit(1), "dedup": F.lit(2), "id": F.lit(3)})
     assert line_dedup.remove_repeats(table).columns == [*table.columns, "dedup_"]
     assert line_dedup.remove_repeats(docs(spark, [])).count() == 0
+
+
+def test_few_rows_of_a_batch_are_python_objects_at_a_time():
+    """However many rows a batch has, texts and what stays of them leave the worker in small parts."""
+    import pyarrow as pa
+
+    from convoy.llm import common, line_dedup, toxicity
+
+    n = 3 * common.AT_ONCE + 7
+    texts = pa.array([None if i % 9 == 0 else f"a{i}\nb\nc\nd" for i in range(n)])
+    starts = pa.array([[1] if i % 2 else None for i in range(n)], pa.list_(pa.int32()))
+    parts = list(line_dedup._kept(3, iter([(texts, starts), (texts[:0], starts[:0])])))
+    assert max(map(len, parts)) <= common.AT_ONCE and sum(map(len, parts)) == n
+    kept = [r["kept"] for part in parts for r in part.to_pylist()]
+    assert kept == [None if i % 9 == 0 else f"a{i}" if i % 2 else f"a{i}\nb\nc\nd" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 2 for i in range(n)], pa.int32()), texts], ["label", "text"])
+    held = list(toxicity._held([" a1 "], iter([batch])))
+    assert max(map(len, held)) <= common.AT_ONCE and sum(map(len, held)) == n
