@@ -165,8 +165,8 @@ def _counted(tables: Tables, families: tuple[str, ...]) -> DataFrame:
     """The checks of some families as (check_family, check_name, value, status, duplicate_keys).
 
     All tables go through one aggregate over (check, key) pairs: each is read once, rows shrink to one per check and key before
-    the only shuffle that carries keys, and facts meet their dimensions there without a join. The second shuffle carries a
-    row per check and partition. Every check starts from a pair of its own with no rows, so that none is missing.
+    the only shuffle that carries keys, and facts meet their dimensions there without a join. Uniqueness checks alone don't
+    shrink rows before it. The second shuffle carries a row per check and partition. Every check starts from a pair of its own with no rows, so that none is missing.
     """
     checks = _all()
     wanted = [i for i, (family, _) in enumerate(checks) if family in families]
@@ -175,7 +175,12 @@ def _counted(tables: Tables, families: tuple[str, ...]) -> DataFrame:
     none = (F.lit(None).cast("string").alias("key"), F.lit(0).cast("bigint").alias("rows"), F.lit(False).alias("known"))
     frames = [start.select(F.col("id").cast("int").alias("check"), *none)]
     frames += [pairs for pairs in (_pairs(tables[t], t, families) for t in TABLES) if pairs is not None]
-    groups = _union(frames).groupBy("check", "key").agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
+    pairs = _union(frames)
+    if families == ("uniqueness",):
+        # Most keys are unique: to combine them before the shuffle would fill a map with every row of a task and spare nothing.
+        # With their number given, Spark keeps all partitions, so that tasks stay small however few cores there are.
+        pairs = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "check", "key")
+    groups = pairs.groupBy("check", "key").agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
     family = F.element_at(F.array(*[F.lit(f) for f, _ in checks]), F.col("check") + 1)
     name = F.element_at(F.array(*[F.lit(n) for _, n in checks]), F.col("check") + 1)
     counted = (

@@ -80,3 +80,13 @@ def test_healthy(spark, tables):
 def test_keys_that_break_a_load(tables):
     assert {(r.key, r.rows) for r in quality.bad_keys(tables["dim_vehicle"], "vehicle_id").collect()} == {("A", 2), (None, 2), ("", 1)}
     assert {(r.key, r.rows) for r in quality.duplicate_keys(tables["dim_vehicle"], "vehicle_id").collect()} == {("A", 2), (None, 2)}
+
+
+def test_unique_keys_are_dealt_to_many_tasks_and_not_combined_before(spark, tables):
+    """A task that combined its rows first would hold them all, since hardly any key repeats."""
+    plan = quality.uniqueness_checks(tables)._jdf.queryExecution().executedPlan().toString()
+    dealt = next(i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(check" in line and "key" in line)
+    assert "REPARTITION_BY_NUM" in plan.splitlines()[dealt]
+    assert not any("Aggregate" in line for line in plan.splitlines()[dealt:])
+    got = {r.check_name: (r.value, r.duplicate_keys) for r in quality.uniqueness_checks(tables).collect()}
+    assert got["dim_vehicle.vehicle_id"] == (3, 2) and got["fact_maintenance.work_order_id"] == (0, 0)
