@@ -116,9 +116,10 @@ def _without_stored(spark, rules, path, held, edge, late, entries) -> DataFrame:
         stored = _read(spark, rules, path, compared).withColumn("part", _part())
         if edge is not None:
             stored = stored.where((F.unix_micros("timestamp") > edge) | F.col("part").isin(late))
-        lowest = stored.groupBy("part", *KEYS).agg(F.min(F.struct("_offset", "_partition")).alias("_lowest"))
+        lowest = stored.groupBy(*KEYS).agg(F.min(F.struct("_offset", "_partition")).alias("_lowest"))
         newer = F.col("_lowest").isNull() | (F.struct("_offset", "_partition") < F.col("_lowest"))
-        good = good.join(lowest, ["part", *KEYS], "left").where(newer).drop("_lowest")
+        # the keys fix the part, and by them alone the events are dealt already
+        good = good.join(lowest, KEYS, "left").where(newer).drop("_lowest")
     return good.unionByName(held.where("reject_reason IS NOT NULL"))
 
 

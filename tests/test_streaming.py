@@ -257,3 +257,23 @@ def test_live_folders_stay_bounded(spark, tmp_path):
     number, state = manifest.newest(spark, str(path))
     live._snapshot(spark, str(path), number, retain=2)
     assert {r.vehicle_id: r.speed for r in held.collect()} == {"V0": 22.0, "V1": 23.0, "V2": 21.0}
+
+
+def test_new_positions_meet_stored_ones_without_being_dealt_anew(spark, tmp_path, lines):
+    """Positions are dealt by vehicle and instant to find the lowest of each; the comparison goes on from there."""
+    stored = run_stream(spark, tmp_path, lines)
+    _, state = manifest.newest(spark, str(tmp_path / "silver"))
+    put(tmp_path / "more", "b.txt", [gps_line(9), gps_line(10, second=2), gps_line(-1, second=1), "{broken"])
+    envelopes = bronze.envelope_from_lines(bronze.read_lines(spark, str(tmp_path / "more")))
+    held = silver.check_events(envelopes, silver.GPS_RULES).withColumn("part", refine._part())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = refine._without_stored(spark, silver.GPS_RULES, str(tmp_path / "silver"), held, None, [], state["entries"])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        good = rows.where("reject_reason IS NULL")
+        assert sorted(r._offset for r in good.collect()) == [-1, 10] and rows.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert stored.count() == 2
+    assert plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(part" not in plan
