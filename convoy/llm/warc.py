@@ -24,14 +24,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut
+from convoy.llm.common import cut, few
 from convoy.session import work_dir
 
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Bytes of payload from which an archive is closed, of one read of neighbouring records, and of a range to scan.
 ARCHIVE, READ, RANGE = 32 << 20, 4 << 20, 16 << 20
-#: Index lines that are read in one task, about.
-LINES = 4096
+#: Index lines that are read in one task, about, and ranges that are scanned in one.
+LINES, RANGES = 4096, 8
 #: How a gzipped record begins.
 GZIP = b"\x1f\x8b\x08"
 LEVEL = 3
@@ -74,7 +74,15 @@ def write_archives(
     joined = rows.join(first.select("same", "first"), "same", "left")
     revisits = (F.octet_length("payload") >= least_revisit) & (F.col("first") > F.col("id"))
     ready = joined.select("id", "uri", "payload", F.when(revisits, F.col("first")).alias("refers_to"))
-    return cut(ready.mapInArrow(partial(_write, folder, archive_bytes, date), "archive string, records long"))
+    made = ready.mapInArrow(partial(_write, folder, archive_bytes, date), "archive string, records long")
+    # this short list takes a file for a core at most, not one for every task that writes archives; rows are dealt by that
+    # task's number, which all its attempts share, so that each part has those of one attempt
+    dealt = made.withColumn("task", F.spark_partition_id()).repartition("task").drop("task")
+    return cut(dealt.coalesce(_cores(pages)))
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def _header(**fields: str) -> bytes:
@@ -110,7 +118,8 @@ class _Stream:
 def _write(folder, archive_bytes, date, batches):
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base, recursive=True)
-    rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("id", "uri", "payload", "refers_to"))))
+    columns = ("id", "uri", "payload", "refers_to")
+    rows = (row for b in batches for part in few(b) for row in zip(*(part.column(c).to_pylist() for c in columns)))
     made = []
     for row in rows:
         name, count = f"{uuid.uuid4().hex}.wacz", 0
@@ -192,13 +201,19 @@ def stored_range(read, member: tuple[int, int, int, int]) -> tuple[int, int]:
 def index_lines(archives: DataFrame) -> DataFrame:
     """Where each record lies, as (archive, offset long, length long).
 
-    Only directories and indexes are read, and of archive members the stretches that no index line covers.
+    Only directories and indexes are read, and of archive members the stretches that no index line covers. They are read when this
+    is called, once, and the lines lie in the shared folder.
     """
     shape = "archive string, offset long, length long, stop long"
-    places = cut(archives.select("archive").mapInArrow(_read_index, shape))
+    cores = _cores(archives)
+    # numbers are given as paths and ranges are few bytes for much to read
+    places = cut(archives.select("archive").repartition(cores).mapInArrow(_read_index, shape))
     known, rest = places.where("stop IS NULL").drop("stop"), places.where("stop IS NOT NULL")
-    spread = rest.repartition("archive", "offset")
-    return known.unionByName(spread.mapInArrow(_scan, "archive string, offset long, length long"))
+    ranges = rest.count()
+    if not ranges:
+        return known
+    spread = rest.repartition(max(min(ranges, cores), -(-ranges // RANGES)))
+    return known.unionByName(cut(spread.mapInArrow(_scan, "archive string, offset long, length long")))
 
 
 def _open(path: str):
@@ -272,14 +287,13 @@ def _places(path: str) -> list[tuple[str, int, int, int | None]]:
 def _scan(batches):
     """The records that begin in each range. The last one may end beyond it."""
     for batch in batches:
-        rows = []
         for path, offset, length, stop in zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length", "stop"))):
             file, read = _open(path)
             with file:
-                rows += [(path, at, size) for at, size in _records_in(read, offset, offset + length, stop)]
-        types = [pa.string(), pa.int64(), pa.int64()]
-        columns = list(zip(*rows)) if rows else [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["archive", "offset", "length"])
+                rows = [(path, at, size) for at, size in _records_in(read, offset, offset + length, stop)]
+            types = [pa.string(), pa.int64(), pa.int64()]
+            columns = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["archive", "offset", "length"])
 
 
 def _records_in(read, start: int, end: int, stop: int):
@@ -335,7 +349,7 @@ def read_records(archives: DataFrame) -> DataFrame:
     A payload that does not have the SHA-1 digest its record gives is an error, unless it was sent in chunks, and so is one
     of another length than its header says in an archive of ours.
     """
-    lines = cut(index_lines(archives))
+    lines = index_lines(archives)
     slabs = -(-lines.count() // LINES)
     # neighbours are read together; a number is given as these lines are few bytes for much to read
     lines = lines.repartition(max(1, slabs), "archive", F.floor(F.col("offset") / ARCHIVE))
@@ -358,15 +372,25 @@ def _read_records(batches):
                     file.close()
                 (file, read), opened = _open(path), path
             data = read(offset, stop - offset)
-            parsed = [(p, o, *parse(data[o - offset : o - offset + n])) for p, o, n in rows[at : last + 1]]
+            parsed, held = [], 0
+            for p, o, n in rows[at : last + 1]:
+                parsed.append((p, o, *parse(data[o - offset : o - offset + n])))
+                held += len(parsed[-1][-1] or b"")
+                if held >= READ:  # what was read may be many times as much unpacked
+                    yield _parsed(parsed)
+                    parsed, held = [], 0
+            if parsed:
+                yield _parsed(parsed)
             at = last + 1
-            types = [pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
-            names = [f.split()[0] for f in RECORD.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*parsed), types)], names)
     if file:
         file.close()
 
 
+def _parsed(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [f.split()[0] for f in RECORD.split(", ")])
+
+
 def _fields(head: bytes) -> dict[str, str]:
     lines = (line.partition(b":") for line in head.split(b"\r\n")[1:] if line)
     return {k.strip().decode("utf-8", "replace").lower(): v.strip().decode("utf-8", "replace") for k, _, v in lines}

@@ -64,6 +64,40 @@ def test_empty_table(spark):
     assert warc.read_records(archives).count() == 0
 
 
+def test_short_lists_are_few_files(spark):
+    """Lists of archives and of what lies in them take a part for a core at most, however many tasks write archives."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [(i, f"http://a.example/{i}", f"<p>{i}</p>") for i in range(300)]
+        archives = warc.write_archives(spark.createDataFrame(rows, PAGES))
+        lines = warc.index_lines(archives)
+        cores = spark.sparkContext.defaultParallelism
+        assert archives.count() > 2 * cores and archives.agg(F.sum("records")).first()[0] == lines.count() == 300
+        assert archives.rdd.getNumPartitions() <= cores and lines.rdd.getNumPartitions() <= cores
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_batch_is_bounded_by_what_it_unpacks_to(tmp_path):
+    """Pages that pack well lie in one read, but are not handed on in one batch."""
+    import pyarrow as pa
+
+    html = [f"{i} " + "x" * 1_000_000 for i in range(40)]
+    columns = [pa.array(range(40), pa.int64()), pa.array(["u"] * 40), pa.array(html), pa.array([None] * 40, pa.int64())]
+    page = pa.RecordBatch.from_arrays(columns, ["id", "uri", "payload", "refers_to"])
+    (wrote,) = warc._write(f"file://{tmp_path}", 1 << 30, "1970-01-01T00:00:00Z", [page])
+    places = warc._places(wrote.column("archive")[0].as_py())
+    assert sum(p[2] for p in places) < warc.READ
+    lines = pa.RecordBatch.from_arrays([pa.array(c) for c in list(zip(*places))[:3]], ["archive", "offset", "length"])
+    got = list(warc._read_records([lines]))
+    assert max(b.nbytes for b in got) < warc.READ + 2_000_000
+    assert [p.as_py().decode() for b in got for p in b.column("payload")] == html
+
+
 def made(names, monkeypatch=None, comment=b"", limit=None):
     if limit is not None:
         monkeypatch.setattr(zipfile, "ZIP64_LIMIT", limit)
