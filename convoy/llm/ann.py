@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.llm.common import cut
+from convoy.llm.common import cut, few
 
 #: Vectors of a block at least and at most, and their bytes at most; queries of a block have the same limits.
 LEAST, MOST, BYTES = 8192, 65_536, 64 << 20
@@ -109,7 +109,9 @@ def search(
     left = left.select("id", "v", block_of, F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("asked"))
     keys = ["block", "asked"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(partial(_search_block, dim, k, settings), out)
-    return _ranked(found, k)
+    # vectors below the sample's bound are left out of what is found, so those that set it belong to it, or some would be missing
+    offered = asked.mapInArrow(partial(_offered, k, sample_ids, sample), out)
+    return _ranked(found.unionByName(offered).repartition("query_id").distinct(), k)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -154,6 +156,27 @@ def _open_for(k, sample_ids, sample, pivots, cells, starts, many, batches):
         yield pa.RecordBatch.from_arrays([*batch.take(pa.array(query)).columns, *columns], ["id", "v", "least", "block"])
 
 
+def _offered(k, sample_ids, sample, batches):
+    """The ``k`` best vectors of the sample for every query."""
+    longest = np.linalg.norm(sample, axis=1).max()
+    for batch in batches:
+        for part in few(batch):
+            ids, q, rows = part.column("id").to_numpy(), _vectors(part.column("v"), sample.shape[1]), []
+            for query, vector, rough in zip(ids, q, q @ sample.T):
+                others = np.flatnonzero(sample_ids != query)
+                rough = rough[others]
+                if len(others) > k:
+                    least = np.partition(rough, -k)[-k] - 1e-9 * np.linalg.norm(vector) * longest
+                    others = others[rough >= least]
+                # summed as in the index, so that a vector that both find has one score
+                scores = (sample[others] * vector).sum(axis=1)
+                best = np.lexsort((sample_ids[others], -scores))[:k]
+                rows.append((np.full(len(best), query), sample_ids[others[best]], scores[best]))
+            columns = [np.concatenate(c) for c in zip(*rows)] if rows else [[], [], []]
+            types = [pa.int64(), pa.int64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["query_id", "id", "score"])
+
+
 def _search_block(dim, k, settings, left: pa.Table, right: pa.Table) -> pa.Table:
     names = ["query_id", "id", "score"]
     if not len(left) or not len(right):

@@ -45,6 +45,15 @@ def test_small_tables_are_searched_whole(spark):
     assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-12)
 
 
+def test_every_query_gets_as_many_as_asked_for(spark):
+    """Also where windows miss many neighbours, whose places the sample's best then fill, once each."""
+    draw = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in draw.standard_normal(32)]) for i in range(400)]
+    got = found(spark, rows, settings=ann.Settings(miss=0.5))
+    assert [g[:2] for g in got] == [(q, n) for q in range(0, 400, 20) for n in range(1, 21)]
+    assert len({(g[0], g[2]) for g in got}) == len(got)
+
+
 def test_fewer_than_asked_for(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])]
     assert [g[:3] for g in found(spark, rows)] == [(0, 1, 1), (0, 2, 2)]
