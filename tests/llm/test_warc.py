@@ -227,6 +227,16 @@ def test_any_index_and_any_record(spark, tmp_path, monkeypatch, form, length):
     assert got[3].payload_bytes == 3000
 
 
+def test_stretches_without_an_index_are_scanned_by_several_tasks(spark, tmp_path):
+    paths = [(str(tmp_path / f"{i}.wacz"),) for i in range(16)]
+    for (path,) in paths:
+        with open(path, "wb") as out:
+            out.write(made({"archive/x.warc.gz": b"".join(foreign())}))
+    lines = warc.index_lines(spark.createDataFrame(paths, "archive string"))
+    counts = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 16 * len(KINDS) and max(counts) <= 8 * len(KINDS)
+
+
 def test_several_members_with_one_index(spark, tmp_path):
     one, two = foreign()[:4], foreign()[4:]
     names = {"archive/x.warc.gz": b"".join(one), "archive/y.warc.gz": b"".join(two), "archive/empty.warc.gz": b""}
